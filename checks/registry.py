@@ -11,7 +11,7 @@ from checks.trip_view import (
     DATASET, REPORT_END, REPORT_START, raw_trips, service_type, table, zone_lookup)
 from ridelake.operators import clean, enrich, filters, marts, quality, star
 from ridelake.plans import explore, reports
-from ridelake.session import work_path
+from ridelake.session import settings, work_path
 from ridelake.sinks.parquet import write_facts
 from ridelake.sinks.warehouse import table_row_counts
 from ridelake.sources import files, landing
@@ -119,7 +119,9 @@ def landing_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def facts_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts after a partitioned write and a read that recovers the date from the paths."""
     path = work_path(spark, "facts")
-    write_facts(facts(spark, sf_dir), path)
+    # The test tables hold few trips per date: without this, AQE would write all dates in one task.
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}):
+        write_facts(facts(spark, sf_dir), path)
     return read_partitioned(spark, path)
 
 

@@ -78,18 +78,28 @@ def shuffle_partitions(bytes_in: int, floor: int) -> int:
     return max(floor, min(wanted, MAX_SHUFFLE_PARTITIONS))
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the jobs started inside the block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, bytes_in: int):
     """Start shuffles with enough partitions for ``bytes_in``; AQE merges what proves small."""
-    before = spark.conf.get(INITIAL_PARTITIONS, None)
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(shuffle_partitions(bytes_in, floor), int(before or 0))
+    asked = int(spark.conf.get(INITIAL_PARTITIONS, None) or 0)
+    wanted = max(shuffle_partitions(bytes_in, floor), asked)
     log.info("shuffles start with %d partitions for %d bytes", wanted, bytes_in)
-    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
-    try:
+    with settings(spark, {INITIAL_PARTITIONS: str(wanted)}):
         yield
-    finally:
-        if before is None:
-            spark.conf.unset(INITIAL_PARTITIONS)
-        else:
-            spark.conf.set(INITIAL_PARTITIONS, before)
