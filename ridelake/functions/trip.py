@@ -1,4 +1,7 @@
-"""The derived columns of a trip, each as an expression over the raw columns."""
+"""The derived columns of a trip, each as an expression over the raw columns.
+
+Codes and flags are compared as strings: a column without any value may come as an integer column.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +13,7 @@ from ridelake.schema import DAYS_EN, DAYS_FR, OTHER_PLATFORM, PLATFORMS
 
 
 def plateforme() -> Column:
-    return lookup(F.col("hvfhs_license_num"), PLATFORMS, OTHER_PLATFORM)
+    return lookup(F.col("hvfhs_license_num").cast("string"), PLATFORMS, OTHER_PLATFORM)
 
 
 def duree_minutes() -> Column:
@@ -44,11 +47,11 @@ def a_pourboire() -> Column:
 
 
 def est_partagee() -> Column:
-    return F.expr("shared_match_flag <=> 'Y'")
+    return F.col("shared_match_flag").cast("string").eqNullSafe("Y")
 
 
 def est_pmr() -> Column:
-    return F.expr("wav_request_flag <=> 'Y'")
+    return F.col("wav_request_flag").cast("string").eqNullSafe("Y")
 
 
 def date_trajet() -> Column:

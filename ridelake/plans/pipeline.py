@@ -15,7 +15,7 @@ from ridelake.operators.enrich import enrich_trips, to_facts
 from ridelake.operators.marts import build_marts, rollup_trips
 from ridelake.operators.star import to_dim_zones, to_fact_trips
 from ridelake.schema import FACT_PARTITION, FACT_TABLE
-from ridelake.session import checkpointed, input_bytes, pin_utc, sized_shuffles, work_path
+from ridelake.session import checkpointed, discard, input_bytes, pin_utc, sized_for, work_path
 from ridelake.sinks.parquet import spread, write_facts, write_marts
 from ridelake.sinks.warehouse import load_dim_zones, load_fact_trips, load_tables
 from ridelake.sources.landing import land_raw, read_lake
@@ -35,31 +35,32 @@ class Outcome:
     tables: dict[str, int] = field(default_factory=dict)
 
 
-def transform(spark: SparkSession, raw: DataFrame, out: str, keep_enriched: bool = False) -> tuple[dict[str, str], DataFrame | None]:
-    """Write the fact table and the six marts of ``raw`` under ``out``.
+def transform(
+    spark: SparkSession, raw: DataFrame, out: str, keep_enriched: bool = False
+) -> tuple[dict[str, str], str | None]:
+    """Write the fact table and the six marts of ``raw`` under ``out``; returns their paths.
 
     The raw trips are read and deduplicated once. The marts start from the written facts: one
     scan of the columns they need gives a rollup, which is materialised and feeds all six.
 
     With ``keep_enriched`` the clean rows with all their columns are written to the shared work
     folder first (the star schema needs columns that the facts do not have) and facts are read
-    from there; the frame over it is returned.
+    from there; that path is returned too, for the caller to use and discard.
     """
-    with sized_shuffles(spark, input_bytes(raw)):
+    with sized_for(spark, input_bytes(raw)):
         enriched = enrich_trips(clean_trips(raw))
-        facts_path, kept = f"{out}/{FACT_TABLE}", None
+        facts_path, staged = f"{out}/{FACT_TABLE}", None
         if keep_enriched:
             staged = work_path(spark, "enriched")
             (spread(enriched, FACT_PARTITION, "PULocationID").write.partitionBy(FACT_PARTITION)
              .parquet(staged))
-            kept = read_partitioned(spark, staged)
             # Staged files already hold one date each: no second shuffle to write the facts.
-            (to_facts(kept).write.mode("overwrite").option("partitionOverwriteMode", "static")
+            (to_facts(read_partitioned(spark, staged)).write.mode("overwrite").option("partitionOverwriteMode", "static")
              .partitionBy(FACT_PARTITION).parquet(facts_path))
         else:
             write_facts(to_facts(enriched), facts_path)
         rollup = checkpointed(rollup_trips(read_partitioned(spark, facts_path)))
-        return {FACT_TABLE: facts_path, **write_marts(build_marts(rollup), out)}, kept
+        return {FACT_TABLE: facts_path, **write_marts(build_marts(rollup), out)}, staged
 
 
 def run(
@@ -76,16 +77,25 @@ def run(
     outcome.actions = {row["action"]: row["count"] for row in actions.groupBy("action").count().collect()}
 
     trips = read_lake(spark, lake)
-    star = zones_csv is not None
-    outcome.paths, enriched = transform(spark, trips, out, keep_enriched=star)
+    outcome.paths, staged = transform(spark, trips, out, keep_enriched=zones_csv is not None)
     outcome.rows_in = trips.count()
     outcome.rows_kept = read_partitioned(spark, outcome.paths[FACT_TABLE]).count()
     rejected = 100 * (1 - outcome.rows_kept / outcome.rows_in) if outcome.rows_in else 0
     log.info("%d rows in, %d kept (%.1f %% rejected)", outcome.rows_in, outcome.rows_kept, rejected)
 
     outcome.tables = load_tables(spark, out, db)
-    if star:
-        with sized_shuffles(spark, input_bytes(enriched)):
-            outcome.tables["fact_trips"] = load_fact_trips(to_fact_trips(enriched, service_type), db)
-        outcome.tables["dim_zones"] = load_dim_zones(to_dim_zones(read_zone_lookup(spark, zones_csv)), db)
+    if zones_csv is not None:
+        try:
+            outcome.tables.update(load_star(spark, staged, zones_csv, db, service_type))
+        finally:
+            discard(spark, staged)
     return outcome
+
+
+def load_star(spark: SparkSession, enriched_path: str, zones_csv: str, db: str, service_type: str) -> dict[str, int]:
+    """Replace the star schema by the enriched trips and the zone lookup; returns ``{table: rows}``."""
+    enriched = read_partitioned(spark, enriched_path)
+    with sized_for(spark, input_bytes(enriched)):
+        trips = load_fact_trips(to_fact_trips(enriched, service_type), db)
+    zones = load_dim_zones(to_dim_zones(read_zone_lookup(spark, zones_csv)), db)
+    return {"fact_trips": trips, "dim_zones": zones}

@@ -20,11 +20,18 @@ DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
+MIB = 1024 * 1024
+
 # Input bytes per shuffle partition, and the most partitions worth asking for:
 # beyond that the map x reduce block count costs more than a spilling task.
-BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
+BYTES_PER_SHUFFLE_PARTITION = 256 * MIB
 MAX_SHUFFLE_PARTITIONS = 40_000
 
+# Scan tasks are of the usual size until there would be too many of them to schedule and shuffle.
+SMALLEST_SPLIT, LARGEST_SPLIT = 128 * MIB, 1024 * MIB
+MAX_SCAN_TASKS = 200_000
+
+SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -62,6 +69,14 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/ridelake-{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table made at a ``work_path``."""
+    if not path.startswith(f"{checkpoint_root(spark)}/ridelake-"):
+        raise ValueError(f"not an intermediate table: {path}")
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so a lost executor costs no recomputation."""
     checkpoint_root(df.sparkSession)
@@ -70,7 +85,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def input_bytes(df: DataFrame) -> int:
     """Size of a scan or a union of scans as Catalyst estimates it from file lengths."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def split_bytes(bytes_in: int) -> int:
+    return min(max(SMALLEST_SPLIT, -(-bytes_in // MAX_SCAN_TASKS)), LARGEST_SPLIT)
 
 
 def shuffle_partitions(bytes_in: int, floor: int) -> int:
@@ -95,11 +114,12 @@ def settings(spark: SparkSession, values: dict[str, str]):
 
 
 @contextmanager
-def sized_shuffles(spark: SparkSession, bytes_in: int):
-    """Start shuffles with enough partitions for ``bytes_in``; AQE merges what proves small."""
+def sized_for(spark: SparkSession, bytes_in: int):
+    """Task sizes for jobs over ``bytes_in``: larger scan tasks when there are very many, and
+    enough shuffle partitions to start with. AQE merges what proves small."""
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     asked = int(spark.conf.get(INITIAL_PARTITIONS, None) or 0)
     wanted = max(shuffle_partitions(bytes_in, floor), asked)
     log.info("shuffles start with %d partitions for %d bytes", wanted, bytes_in)
-    with settings(spark, {INITIAL_PARTITIONS: str(wanted)}):
+    with settings(spark, {INITIAL_PARTITIONS: str(wanted), SPLIT_BYTES: str(split_bytes(bytes_in))}):
         yield

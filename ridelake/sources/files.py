@@ -11,7 +11,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StructField, StructType
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StringType, StructField, StructType
 
 log = logging.getLogger(__name__)
 
@@ -57,8 +57,16 @@ def widened(schema: StructType) -> StructType:
 
 
 def union_tolerant(frames: Sequence[DataFrame]) -> DataFrame:
-    """Rows of all frames, matched by column name, NULL where a frame lacks a column."""
-    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
+    """Rows of all frames, matched by column name, NULL where a frame lacks a column.
+
+    Spark finds the common type of numbers. Where one frame has text and another numbers (as when a
+    file holds no value of a column and stores it as integer), text wins.
+    """
+    text = {f.name for frame in frames for f in frame.schema.fields if isinstance(f.dataType, StringType)}
+    aligned = [frame.withColumns({
+        f.name: F.col(f"`{f.name}`").cast("string") for f in frame.schema.fields
+        if f.name in text and not isinstance(f.dataType, StringType)}) for frame in frames]
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), aligned)
 
 
 def _mergeable(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str], StructType]]:

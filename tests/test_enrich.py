@@ -69,6 +69,11 @@ def test_flags(trips):
     assert one(trips, tips=0.0).a_pourboire is False
 
 
+def test_flags_without_values_may_be_integers(trips):
+    raw = trips({}).selectExpr("* EXCEPT (wav_request_flag)", "cast(NULL AS bigint) AS wav_request_flag")
+    assert enrich.enrich_flags(raw).first().est_pmr is False
+
+
 def test_speed_needs_time(trips):
     rows = enrich.enrich_speed(trips({"trip_time": 0}, {"trip_time": None}, {})).collect()
     assert [row.vitesse_mph for row in rows] == [None, None, 20.0]
