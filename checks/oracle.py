@@ -1,8 +1,9 @@
 """The same queries in SQL for DuckDB, over the given tables.
 
 Written independently of the Spark plans: each statement spells out the whole computation from the
-line items. Rounded aggregates are cut to ten decimals first, as in ``settled``; rounded row values
-are not.
+line items. Rounded aggregates are cut to ten decimals first, as in ``settled``. Rounded row values
+are rounded half-up on their shortest decimal form, which is how Spark rounds a double; DuckDB's own
+``round`` scales the double first and falls below some ties.
 """
 
 from __future__ import annotations
@@ -42,18 +43,23 @@ KEEP = """pickup_datetime IS NOT NULL AND dropoff_datetime IS NOT NULL
 
 CLEAN = f"{TRIPS},\nclean AS (SELECT DISTINCT * FROM raw WHERE {KEEP})"
 
+
+def _half_up(value: str) -> str:
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 20)), 2) AS DOUBLE)"
+
+
 # Derived column -> SQL over a clean trip.
 DERIVED = {
     "plateforme": """CASE hvfhs_license_num WHEN 'HV0002' THEN 'Juno' WHEN 'HV0003' THEN 'Uber'
       WHEN 'HV0004' THEN 'Via' WHEN 'HV0005' THEN 'Lyft' ELSE 'Autre' END""",
-    "duree_minutes": "round(trip_time / 60, 2)",
-    "temps_attente_min": """CASE WHEN request_datetime <= pickup_datetime
-      THEN round(date_diff('second', request_datetime, pickup_datetime) / 60, 2) END""",
-    "vitesse_mph": "round(trip_miles / (trip_time / 3600), 2)",
-    "revenu_total": """round(base_passenger_fare + coalesce(tolls, 0) + coalesce(congestion_surcharge, 0)
-      + coalesce(airport_fee, 0) + coalesce(tips, 0), 2)""",
-    "taux_reversement": """CASE WHEN base_passenger_fare <> 0
-      THEN round(driver_pay / base_passenger_fare, 2) END""",
+    "duree_minutes": _half_up("trip_time / 60"),
+    "temps_attente_min": f"""CASE WHEN request_datetime <= pickup_datetime
+      THEN {_half_up("date_diff('second', request_datetime, pickup_datetime) / 60")} END""",
+    "vitesse_mph": _half_up("trip_miles / (trip_time / 3600)"),
+    "revenu_total": _half_up("""base_passenger_fare + coalesce(tolls, 0) + coalesce(congestion_surcharge, 0)
+      + coalesce(airport_fee, 0) + coalesce(tips, 0)"""),
+    "taux_reversement": f"""CASE WHEN base_passenger_fare <> 0
+      THEN {_half_up("driver_pay / base_passenger_fare")} END""",
     "a_pourboire": "coalesce(tips, 0) > 0",
     "est_partagee": "coalesce(shared_match_flag = 'Y', false)",
     "est_pmr": "coalesce(wav_request_flag = 'Y', false)",
