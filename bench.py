@@ -20,8 +20,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from checks.registry import SELECTION, dim_zones, zones  # noqa: E402
-from checks.trip_view import REPORT_END, REPORT_START, raw_trips, service_type  # noqa: E402
+from ridelake_checks.registry import SELECTION, dim_zones, zones  # noqa: E402
+from ridelake_checks.trip_view import REPORT_END, REPORT_START, raw_trips, service_type  # noqa: E402
 from ridelake.operators import clean, enrich, filters, marts, star  # noqa: E402
 from ridelake.plans import explore, reports  # noqa: E402
 from ridelake.session import build_session, checkpointed, work_path  # noqa: E402

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ridelake.operators.marts import MARTS
 from ridelake.operators.quality import FACT_REQUIRED, ZONE_REQUIRED, required
 from ridelake.schema import FACT_PARTITION, FACT_TABLE, STAR_PARTITION
+from ridelake.session import settings
 from ridelake.sinks.parquet import spread
 from ridelake.sources.files import existing
 
@@ -69,9 +70,10 @@ def load_fact_trips(fact_trips: DataFrame, db: str) -> int:
     spark = fact_trips.sparkSession
     create_fact_trips(spark, db)
     checked = required(fact_trips, FACT_REQUIRED).select(*FACT_TRIPS_COLUMNS)
-    (spread(checked, STAR_PARTITION, "pickup_location_id", "dropoff_location_id")
-     .write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .insertInto(f"{db}.fact_trips"))
+    rows = spread(checked, STAR_PARTITION, "pickup_location_id", "dropoff_location_id")
+    # Dates that no longer occur must go too, whatever the session's overwrite mode.
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
+        rows.write.mode("overwrite").insertInto(f"{db}.fact_trips")
     return spark.table(f"{db}.fact_trips").count()
 
 

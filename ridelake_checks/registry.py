@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.trip_view import (
+from ridelake_checks.trip_view import (
     DATASET, REPORT_END, REPORT_START, raw_trips, service_type, table, zone_lookup)
 from ridelake.operators import clean, enrich, filters, marts, quality, star
 from ridelake.plans import explore, reports

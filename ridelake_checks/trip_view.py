@@ -1,7 +1,7 @@
 """Raw trips and zones in the shape of the data model, derived from the given tables.
 
 The tables hold no trips; ``FIXTURES.md`` §5 maps every line item to one. The same mapping in SQL is
-in ``checks/oracle.py``.
+in ``ridelake_checks/oracle.py``.
 """
 
 from __future__ import annotations

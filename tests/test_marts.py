@@ -4,8 +4,8 @@ import math
 
 import pytest
 
-from checks.compare import spark_rows
-from checks.registry import facts as facts_of
+from ridelake_checks.compare import spark_rows
+from ridelake_checks.registry import facts as facts_of
 from ridelake.functions.expressions import settled
 from ridelake.operators import marts
 from ridelake.operators.enrich import enrich_trips, to_facts

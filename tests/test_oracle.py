@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_module
-from checks.compare import connect, difference
+from ridelake_checks.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
 

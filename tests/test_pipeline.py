@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from checks.compare import spark_rows
+from ridelake_checks.compare import spark_rows
 from ridelake import session
 from ridelake.operators.clean import clean_trips
 from ridelake.operators.enrich import enrich_trips, to_facts

@@ -6,8 +6,8 @@ import re
 
 import pytest
 
-from checks.registry import QUERIES, facts
-from checks.trip_view import raw_trips
+from ridelake_checks.registry import QUERIES, facts
+from ridelake_checks.trip_view import raw_trips
 from ridelake.operators import clean, enrich, filters, marts
 from ridelake.plans import explore
 from ridelake.session import settings, work_path

@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from checks.compare import spark_rows
+from ridelake_checks.compare import spark_rows
 from ridelake.operators.enrich import enrich_trips, to_facts
 from ridelake.operators.marts import MARTS, build_marts
 from ridelake.session import INITIAL_PARTITIONS, settings

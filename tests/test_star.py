@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from ridelake.operators import quality, star
 from ridelake.operators.clean import clean_trips
 from ridelake.operators.enrich import enrich_trips
 from ridelake.plans import reports
+from ridelake.session import settings
 from ridelake.sinks import warehouse
 
 DAY = ("2024-01-07", "2024-01-07")
@@ -73,6 +76,10 @@ def test_tables_guard_and_pruning(spark, trips, dims):
     assert warehouse.load_fact_trips(table, "star_db") == 2
     assert warehouse.load_fact_trips(table, "star_db") == 2
     assert warehouse.load_dim_zones(dims, "star_db") == 3
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        later = {"pickup_datetime": dt.datetime(2024, 1, 8), "dropoff_datetime": dt.datetime(2024, 1, 9)}
+        assert warehouse.load_fact_trips(star_of(trips(later)), "star_db") == 1
+        assert warehouse.load_fact_trips(table, "star_db") == 2
     stored = spark.table("star_db.fact_trips")
     assert stored.columns == list(warehouse.FACT_TRIPS_COLUMNS)
 
