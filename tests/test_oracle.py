@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry_module
 from ridelake_checks.compare import connect, difference
+from ridelake_checks.oracle import ORACLE
+from ridelake_checks.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,13 +18,14 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert entry_module.queries().keys() == entry_module.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= entry_module.queries().keys()
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = entry_module.queries()[name](spark, SF)
-    assert difference(df, duck, entry_module.oracle_sql()[name]) is None
+    df = QUERIES[name](spark, SF)
+    assert difference(df, duck, ORACLE[name]) is None
 
 
 def test_entry(spark):
