@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import exact_dedup, jaccard_join, mixing
+from ridelake.llm import exact_dedup, jaccard_join, mixing, secret_scan
 from ridelake.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(documents(spark, sf_dir))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(documents(spark, sf_dir))
 
@@ -27,6 +31,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_secret_scan": op2_secret_scan,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op10_mixing": op10_mixing,
