@@ -45,12 +45,12 @@ def probes(docs: DataFrame) -> DataFrame:
 
 
 def slot_of(depth: int):
-    return F.shiftrightunsigned("key", 64 - depth) if depth else F.lit(0).cast("long")
+    return F.shiftrightunsigned("key", 64 - depth)
 
 
 def grow_directory(entries: DataFrame, capacity: int, max_depth: int) -> tuple[DataFrame, int]:
     """Double while a slot is overfull and holds more than one key. Reads only the keys."""
-    depth = 0
+    depth = 1
     while True:
         slots = entries.groupBy(slot_of(depth).alias("slot")).agg(
             F.count(F.lit(1)).alias("n"), (F.min("key") < F.max("key")).alias("splits"))

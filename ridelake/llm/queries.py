@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import exact_dedup, jaccard_join, mixing, secret_scan
+from ridelake.llm import exact_dedup, jaccard_join, line_dedup, mixing, secret_scan
 from ridelake.llm.shared import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir)).select(
+        "doc_id", "text", "n_lines", "n_boilerplate", "n_removed")
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(documents(spark, sf_dir))
 
@@ -31,6 +36,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,

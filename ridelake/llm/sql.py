@@ -6,6 +6,24 @@ _SPACE = r"[\x20\x09-\x0D]+"
 _WORD = r"[^\x20\x09-\x0D]+"
 
 ORACLE: dict[str, str] = {
+    "op1_line_dedup": rf"""
+WITH split AS (
+  SELECT doc_id, text, coalesce('=' || source, '') AS site, string_split(text, chr(10)) AS lines FROM documents),
+lines AS (
+  SELECT doc_id, site, place, line, regexp_replace(line, '^{_SPACE}|{_SPACE}$', '', 'g') AS trimmed
+  FROM (SELECT doc_id, site, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM split)),
+boilerplate AS (
+  SELECT trimmed FROM lines WHERE regexp_matches(trimmed, '[\p{{L}}\p{{N}}]')
+  GROUP BY trimmed HAVING count(DISTINCT site) >= 10),
+shares AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (hit) AS n_boilerplate,
+         coalesce(sum(length(line)) FILTER (hit), 0) <= sum(length(line)) * 0.5 AS cut,
+         string_agg(line, chr(10) ORDER BY place) FILTER (NOT hit) AS kept
+  FROM (SELECT *, trimmed IN (SELECT trimmed FROM boilerplate) AS hit FROM lines) GROUP BY doc_id)
+SELECT doc_id, CASE WHEN cut AND n_boilerplate > 0 THEN coalesce(kept, '') ELSE text END AS text,
+       coalesce(n_lines, 0) AS n_lines, coalesce(n_boilerplate, 0) AS n_boilerplate,
+       CASE WHEN cut AND n_boilerplate > 0 THEN n_boilerplate ELSE 0 END AS n_removed
+FROM split LEFT JOIN shares USING (doc_id)""",
     "op5_exact_dedup": f"""
 WITH rows AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '{_SPACE}', ' ', 'g') AS body FROM documents),
