@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import exact_dedup, jaccard_join, line_dedup, mixing, secret_scan
-from ridelake.llm.shared import documents
+from ridelake.llm import exact_dedup, jaccard_join, line_dedup, mixing, quality, secret_scan, toxicity
+from ridelake.llm.shared import documents, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,16 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(documents(spark, sf_dir))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.scored(docs, quality.train(docs, labels(spark, sf_dir)))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.scored(docs, toxicity.train(docs, labels(spark, sf_dir)))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir))
     return mixed.orderBy(F.col("position").asc_nulls_last(), F.col("doc_id"))
@@ -40,5 +50,7 @@ QUERIES: dict[str, Query] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
+    "op8_quality": op8_quality,
+    "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }
