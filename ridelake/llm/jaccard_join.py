@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelake.llm.components import components
-from ridelake.llm.shared import small_batches, stored
+from ridelake.llm.shared import python_tasks, stored
 from ridelake.llm.shingles import WordNumbers, groups, mixed, shingles, stars, tokens
 
 SHINGLE_WORDS = 5
@@ -214,7 +214,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
     - ``text_node``: digest of the words, which tells apart rows that share an id.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    python_tasks(spark)
     signed = stored(docs.select("doc_id", "text").mapInArrow(
         _sign, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node binary, n_shingles long,"
                " bands array<long>, bytes binary"), "signed")

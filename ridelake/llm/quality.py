@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ridelake.llm.shared import small_batches
+from ridelake.llm.shared import python_tasks
 
 MAX_TRAIN = 20_000
 BINS, PAIR_BINS, PAIRS = 64, 16, 8
@@ -204,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> Model:
             rows = [features(text) for text in batch["text"]]
             yield pd.DataFrame({"quality": batch["quality"].astype("int64"), "x": rows})
 
-    small_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     rows = training_rows(docs, labels, "quality", held_out(), most).select("text", "quality").mapInPandas(
         measured, "quality long, x array<double>").toPandas()
     order = np.lexsort(np.stack([np.array(x) for x in rows["x"]]).T) if len(rows) else []
@@ -222,6 +222,6 @@ def scorer(model: Model):
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score and predicted for every row."""
-    small_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     score = docs.select("doc_id", held_out().alias("held_out"), scorer(model)("text").alias("score"))
     return score.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

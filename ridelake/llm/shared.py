@@ -6,8 +6,10 @@ A null text counts as empty unless an operator says otherwise.
 
 from __future__ import annotations
 
+import sys
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -66,11 +68,13 @@ def release(spark: SparkSession) -> None:
         discard(spark, path)
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound what a Python worker holds of the texts at a time."""
+def python_tasks(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Before Python runs in tasks: bound what a worker holds of the texts at a time, and send this package's
+    functions themselves, so that executors need no copy of it."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
         spark.conf.set(key, str(rows))
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
 
 def in_ranges(df: DataFrame, order: list[str], name: str) -> DataFrame:

@@ -5,11 +5,16 @@ Known are some toxic documents and very many without a verdict, toxic ones among
 examples: ``p E⁺[l(g)] + (Eᵘ[l(-g)] - p E⁺[l(-g)])``. The bracket estimates the risk on negatives and cannot
 truly be below zero; when a batch makes it so, the step goes the other way instead of fitting the positives by heart.
 
-The classifier is linear over the presence of words (lower case, letters and digits). Words are chosen by
-counting, in Spark, in how many toxic and unlabelled training documents they occur.
+*Evidence.* A text shows its words and their stems (the first 3 to 9 letters, so that inflected forms count). How
+many toxic and how many unlabelled training documents show a stem is counted in Spark; by the prior this gives
+the chance that a document with the stem is toxic, of which the lower confidence bound is the stem's evidence.
+Stems with too little of it are dropped.
+
+*Classifier.* Linear over a few numbers of a text: how many of its stems have how much evidence, and the largest.
+Its training documents were counted as well, so each gets the evidence counted in the other ``FOLDS - 1`` folds.
 
 Positives are documents marked toxic outside the held-out fifth, at most about ``MAX_POSITIVE``; unlabelled are all
-documents outside it, marked or not, of which a hashed share of about ``MAX_UNLABELLED`` is used. Their word
+documents outside it, marked or not, of which a hashed share of about ``MAX_UNLABELLED`` is used. Their stems'
 numbers go to the driver: at most ``VOCABULARY`` for each. The prior is the share of toxic marks among all marks of
 the training fold unless it is given. Scoring covers every whole text. Null counts as empty. Without positives
 all scores are 0.
@@ -17,6 +22,7 @@ all scores are 0.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,23 +34,75 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ridelake.llm.quality import training_rows
-from ridelake.llm.shared import small_batches, stored
+from ridelake.llm.shared import python_tasks, stored
 from ridelake.llm.shingles import tokens
 
 MAX_POSITIVE, MAX_UNLABELLED = 10_000, 20_000
-VOCABULARY, LEAST_DOCUMENTS = 2048, 5
-EPOCHS, BATCH, RATE, DECAY = 40, 512, 0.02, 1e-3
+STEMS = range(3, 10)
+VOCABULARY, LEAST_DOCUMENTS, LEAST_EVIDENCE = 10_000, 3, 0.25
+FOLDS = 5
+LEVELS = np.array([0.25, 0.35, 0.45, 0.55, 0.65, 0.75])
+STEPS, RATE, DECAY = 800, 0.05, 3e-3
+
+
+class Stems(dict):
+    """What a word shows, of what is in ``known`` if that is given. Remembers words."""
+
+    LIMIT = 100_000
+
+    def __init__(self, known=None):
+        super().__init__()
+        self.known = known
+
+    def __missing__(self, word: str) -> tuple[str, ...]:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        found = {f"={word}", *(word[:k] for k in STEMS if k <= len(word))}
+        kept = self[word] = tuple(found if self.known is None else found & self.known)
+        return kept
+
+    def of(self, words) -> set[str]:
+        found: set[str] = set()
+        for word in words:
+            found.update(self[word])
+        return found
+
+
+def evidence(p, u, n_positive, n_unlabelled, prior: float):
+    """Lower bound of the chance that a document with a stem is toxic."""
+    p, u = np.asarray(p, float), np.asarray(u, float)
+    chance = prior * (p / n_positive) / np.maximum(u / n_unlabelled, 1e-12)
+    bound = chance * np.exp(-1.64 * np.sqrt(1 / np.maximum(p, 1) + 1 / np.maximum(u, 1)))
+    return np.where(p >= LEAST_DOCUMENTS, np.minimum(bound, 1.0), 0.0)
+
+
+def measures(found: np.ndarray, words: int) -> np.ndarray:
+    counts = np.bincount(np.searchsorted(LEVELS, found, "right"), minlength=len(LEVELS) + 1)[1:]
+    return np.concatenate([
+        np.log1p(counts), counts > 0, counts / np.sqrt(words + 1), [found.max(initial=0.0)]])
+
+
+N_MEASURES = 3 * len(LEVELS) + 1
 
 
 @dataclass
 class Model:
-    weights: dict[str, float]
+    known: dict[str, float]
+    centre: np.ndarray
+    scale: np.ndarray
+    weights: np.ndarray
     bias: float
 
-    def score(self, text: str | None) -> float:
-        get = self.weights.get
-        found = self.bias + sum(get(word, 0.0) for word in set(tokens(text)))
-        return float(1 / (1 + np.exp(-np.clip(found, -500, 500))))
+    def score(self, texts) -> list[float]:
+        stems, rows = Stems(self.known.keys()), []
+        for text in texts:
+            words = set(tokens(text))
+            rows.append(measures(np.array([self.known[x] for x in stems.of(words)], float), len(words)))
+        x = (np.array(rows).reshape(-1, N_MEASURES) - self.centre) / self.scale
+        return (1 / (1 + np.exp(-np.clip(x @ self.weights + self.bias, -500, 500)))).tolist()
+
+
+NOTHING_KNOWN = Model({}, np.zeros(N_MEASURES), np.ones(N_MEASURES), np.zeros(N_MEASURES), -1e3)
 
 
 def held_out() -> Column:
@@ -56,100 +114,124 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         words = [sorted(set(tokens(text))) for text in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("positive"), pa.array(words, pa.list_(pa.string()))], ["positive", "words"])
+            [batch.column("side"), batch.column("fold"), pa.array(words, pa.list_(pa.string()))],
+            ["side", "fold", "words"])
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int, prior: float,
-        seed: int = 7) -> tuple[np.ndarray, float]:
-    """Weights and bias by Adam over the corrected risk with the sigmoid loss."""
-    draw = np.random.default_rng(seed)
-    w, first, second = (np.zeros(size + 1) for _ in range(3))  # the last entry is the bias
-    step = 0
+def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Document frequencies by fold and side within a task, handed on whenever they have become many."""
+    def handed_on(counts):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x for c in counts for x in c], pa.string()),
+             pa.array([slot for slot, c in enumerate(counts) for _ in c], pa.int32()),
+             pa.array([n for c in counts for n in c.values()], pa.int64())], ["stem", "slot", "n"])
 
-    def matrix(rows: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros((len(rows), size + 1), np.float32)
-        for i, row in enumerate(rows):
-            out[i, row] = 1
-        out[:, size] = 1
-        return out
+    stems, counts = Stems(), [Counter() for _ in range(2 * FOLDS)]
+    for batch in batches:
+        for side, fold, words in zip(*[batch.column(c).to_pylist() for c in ("side", "fold", "words")]):
+            counts[2 * fold + side].update(stems.of(words))
+            if sum(map(len, counts)) > 400_000:
+                yield handed_on(counts)
+                counts = [Counter() for _ in range(2 * FOLDS)]
+    yield handed_on(counts)
+
+
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
+    """Weights and bias by Adam over the corrected risk with the logistic loss, whose slope does not vanish
+    for positives that are still far on the wrong side."""
+    positive, unlabelled = (np.c_[x, np.ones(len(x))] for x in (positive, unlabelled))
+    size = positive.shape[1] - 1
+    w, first, second = (np.zeros(size + 1) for _ in range(3))  # the last entry is the bias
 
     def mean_slope(x: np.ndarray, sign: int) -> tuple[float, np.ndarray]:
-        """Mean loss sigmoid(-sign g), and its gradient."""
-        loss = 1 / (1 + np.exp(np.clip(sign * (x @ w), -60, 60)))
-        return float(loss.mean()), -sign * ((loss * (1 - loss)) @ x) / len(x)
-
-    share = max(1, len(unlabelled) // BATCH)
-    for _ in range(EPOCHS):
-        p_order = draw.permutation(max(len(positive), share)) % len(positive)
-        u_order = draw.permutation(len(unlabelled))
-        for p_rows, u_rows in zip(np.array_split(p_order, share), np.array_split(u_order, share)):
-            p, u = matrix([positive[i] for i in p_rows]), matrix([unlabelled[i] for i in u_rows])
-            _, as_positive = mean_slope(p, 1)
-            p_negative, p_slope = mean_slope(p, -1)
-            u_negative, u_slope = mean_slope(u, -1)
-            if u_negative - prior * p_negative >= 0:
-                slope = prior * as_positive + u_slope - prior * p_slope
-            else:
-                slope = prior * p_slope - u_slope
-            slope[:size] += DECAY * w[:size]
-            step += 1
-            first = 0.9 * first + 0.1 * slope
-            second = 0.999 * second + 0.001 * slope**2
-            w -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        """Mean loss log(1 + exp(-sign g)), and its gradient."""
+        margin = sign * (x @ w)
+        return float(np.logaddexp(0, -margin).mean()), -sign * ((1 / (1 + np.exp(np.clip(margin, -60, 60)))) @ x) / len(x)
+
+    for step in range(1, STEPS + 1):
+        _, as_positive = mean_slope(positive, 1)
+        p_negative, p_slope = mean_slope(positive, -1)
+        u_negative, u_slope = mean_slope(unlabelled, -1)
+        if u_negative - prior * p_negative >= 0:
+            slope = prior * as_positive + u_slope - prior * p_slope
+        else:
+            slope = prior * p_slope - u_slope
+        slope[:size] += DECAY * w[:size]
+        first = 0.9 * first + 0.1 * slope
+        second = 0.999 * second + 0.001 * slope**2
+        w -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     return w[:size], float(w[size])
 
 
 def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Model:
-    small_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out())
     marks, toxic = usable.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not toxic:
-        return Model({}, -1e3)
+        return NOTHING_KNOWN
     prior = toxic / marks if prior is None else prior
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold")
     positive = training_rows(docs, usable.where("toxic = 1"), "toxic", held_out(), MAX_POSITIVE).select(
-        "text", F.lit(True).alias("positive"))
+        "text", fold, F.lit(1).alias("side"))
     share = min(1.0, MAX_UNLABELLED / max(docs.count(), 1))
     unlabelled = docs.where(~held_out()).where(
         F.pmod(F.xxhash64("doc_id", F.lit("unlabelled")), F.lit(1_000_000_000)) < int(share * 1_000_000_000)).select(
-        "text", F.lit(False).alias("positive"))
+        "text", fold, F.lit(0).alias("side"))
     words = stored(positive.union(unlabelled).mapInArrow(
-        _distinct_words, "positive boolean, words array<string>"), "toxicity-words")
-    n_positive, n_unlabelled = words.agg(F.count_if("positive"), F.count_if(~F.col("positive"))).first()
-    if not n_positive or not n_unlabelled:
-        return Model({}, -1e3)
-
-    counted = words.select("positive", F.explode("words").alias("word")).groupBy("word").agg(
-        F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u"))
-    p, u = F.col("p") / F.lit(n_positive), F.col("u") / F.lit(n_unlabelled)
-    both = (F.col("p") + F.col("u")) / F.lit(n_positive + n_unlabelled)
-    telling = F.abs(p - u) / F.sqrt(both * (1 - both) + F.lit(1e-9))
-    chosen = counted.where(F.col("p") + F.col("u") >= LEAST_DOCUMENTS).orderBy(
-        telling.desc(), "word").limit(VOCABULARY).select("word").collect()
-    number = {row.word: i for i, row in enumerate(chosen)}
-
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _distinct_words, "side int, fold int, words array<string>"), "toxicity-words")
+    n = np.zeros((FOLDS, 2))
+    for row in words.groupBy("fold", "side").count().collect():
+        n[row["fold"], row["side"]] = row["count"]
+    n_u, n_p = n.sum(axis=0)
+    if not n_p or not n_u:
+        return NOTHING_KNOWN
+
+    slots = range(2 * FOLDS)
+    counted = words.mapInArrow(_stem_counts, "stem string, slot int, n long").groupBy("stem").agg(
+        *[F.coalesce(F.sum(F.when(F.col("slot") == i, F.col("n"))), F.lit(0)).alias(f"n{i}") for i in slots])
+    p, u = (sum((F.col(f"n{i}") for i in slots if i % 2 == side), F.lit(0)) for side in (1, 0))
+    # Stems are ranked by the same bound as in ``evidence``.
+    bound = F.lit(prior * n_u / n_p) * p / F.greatest(u, F.lit(0.5)) * F.exp(
+        F.lit(-1.64) * F.sqrt(1 / p + 1 / F.greatest(u, F.lit(1))))
+    chosen = counted.where(p >= LEAST_DOCUMENTS).withColumn("bound", bound).where(
+        F.col("bound") >= LEAST_EVIDENCE).orderBy(F.col("bound").desc(), "stem").limit(VOCABULARY).collect()
+    if not chosen:
+        return NOTHING_KNOWN
+    number = {row["stem"]: i for i, row in enumerate(chosen)}
+    counts = np.array([[row[f"n{i}"] for i in slots] for row in chosen], float).reshape(-1, FOLDS, 2)
+    total = counts.sum(axis=1)
+    known = evidence(total[:, 1], total[:, 0], n_p, n_u, prior)
+    others = [evidence(*(total - counts[:, k])[:, ::-1].T, max(n_p - n[k, 1], 1), max(n_u - n[k, 0], 1), prior)
+              for k in range(FOLDS)]
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stems = Stems(number.keys())
         for batch in batches:
-            rows = [[number[w] for w in found if w in number] for found in batch.column("words").to_pylist()]
+            rows = [measures(others[k][[number[x] for x in stems.of(found)]], len(found)) for k, found in zip(
+                batch.column("fold").to_pylist(), batch.column("words").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("positive"), pa.array(rows, pa.list_(pa.int32()))], ["positive", "x"])
+                [batch.column("side"), pa.array(rows, pa.list_(pa.float64()))], ["side", "x"])
 
-    rows = words.mapInArrow(numbered, "positive boolean, x array<int>").toPandas()
-    sides = [sorted((np.asarray(x, np.int64) for x in rows["x"][rows["positive"] == side]), key=lambda x: x.tolist())
-             for side in (True, False)]
-    weights, bias = fit(*sides, len(number), prior)
-    return Model({word: float(weights[i]) for word, i in number.items()}, bias)
+    rows = words.mapInArrow(measured, "side int, x array<double>").toPandas()
+    sides = []
+    for side in (1, 0):
+        x = np.array(rows["x"][rows["side"] == side].tolist()).reshape(-1, N_MEASURES)
+        sides.append(x[np.lexsort(x.T)])  # the same model whatever order the rows come in
+    centre, scale = sides[1].mean(axis=0), sides[1].std(axis=0) + 1e-3
+    weights, bias = fit(*[(x - centre) / scale for x in sides], prior)
+    return Model({stem: float(known[i]) for stem, i in number.items()}, centre, scale, weights, bias)
 
 
 def scorer(model: Model):
     @pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([model.score(text) for text in texts], dtype="float64")
+        return pd.Series(model.score(texts), dtype="float64")
 
     return score
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score and predicted for every row."""
-    small_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     score = docs.select("doc_id", held_out().alias("held_out"), scorer(model)("text").alias("score"))
     return score.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
