@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import chat_format, exact_dedup, jaccard_join, line_dedup, mixing, quality, secret_scan, toxicity
+from ridelake.llm import chat_format, exact_dedup, jaccard_join, line_dedup, mixing, pii, quality, secret_scan, toxicity
 from ridelake.llm.shared import documents, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(rows.unionByName(hostile)))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(documents(spark, sf_dir))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality.scored(docs, quality.train(docs, labels(spark, sf_dir)))
@@ -61,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_chat_format": op6_chat_format,
+    "op7_pii": op7_pii,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
