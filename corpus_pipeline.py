@@ -1,20 +1,54 @@
-"""From raw documents to a training mix, stage by stage."""
+"""From raw documents to a training mix, stage by stage.
+
+Each stage reads what the one before has written, and the rows it returns have the columns of documents; the last
+adds the training position. Stages see all rows: repeated rows, shared or null ids and null texts included.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ridelake.llm import decontamination, jaccard_join, line_dedup, mixing, quality
+from ridelake.llm.shared import benchmark, documents, labels, stored
+
+
+def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model, trained on the labels outside the held-out third, does not reject."""
+    model = quality.train(docs, labels(spark, sf_dir))
+    return docs.where(quality.scorer(model)("text") >= 0.5)
+
+
+def cut_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that many sources have. ``n_chars`` follows the text where it changes."""
+    done = line_dedup.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        done = done.withColumn("n_chars", F.when(
+            F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return done.select(*docs.columns)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that chains of similar ones connect, the one with the smallest id (see ``jaccard_join``)."""
+    return jaccard_join.one_of_each_class(docs)
+
 
-from ridelake.llm.mixing import curriculum
-from ridelake.llm.shared import documents, stored
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontamination.without_items(docs, benchmark(spark, sf_dir))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in training order, each as often as its source's target asks."""
-    return curriculum(docs)
+    return mixing.curriculum(docs)
 
 
 STAGES = [
-    ("mixing", mix_sources),
+    ("quality classifier", keep_good_quality),
+    ("line dedup", cut_boilerplate),
+    ("n-gram Jaccard join", keep_one_of_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("mixing sources to target weights", mix_sources),
 ]
 
 # Trained models and random walks take part in the decisions, which SQL cannot express.
@@ -24,5 +58,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = stored(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -25,9 +25,11 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from ridelake.llm.components import components
 from ridelake.llm.shared import python_tasks, stored
@@ -255,3 +257,24 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
         (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     return signed.select("doc_id", "node").join(per_text, "node").select(
         "doc_id", "class_id", "copy_id", "copies", "n_links", "n_text_links", F.lower(F.hex("node")).alias("text_node"))
+
+
+def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that represent their class: the smallest id, and one row of those that share it.
+
+    A class without ids keeps one row of each of its texts. Rows and classes meet by id and digest of the words,
+    which are computed here as in ``join``.
+    """
+    classes = join(docs, **options)
+    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.unhex("text_node").alias("_node")
+    ).distinct()
+    # Where one id has several texts of a class, the smallest digest stands for it.
+    kept = kept.where("_id <> ''").groupBy("_id").agg(F.min("_node").alias("_node")).union(kept.where("_id = ''"))
+    named = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_node": node_of("text")})
+    return named.join(kept, ["_id", "_node"], "left_semi").dropDuplicates(["_id", "_node"]).drop("_id", "_node")
+
+
+@pandas_udf("binary")
+def node_of(texts: pd.Series) -> pd.Series:
+    return pd.Series([text_node(text, tokens(text)) for text in texts], dtype=object)

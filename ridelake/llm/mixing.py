@@ -62,7 +62,7 @@ def position(consumed, target, slope) -> F.Column:
     q = consumed / target
     rise = F.lit(1.0) + slope
     root = (rise - F.sqrt(rise * rise - F.lit(4.0) * slope * q)) / (F.lit(2.0) * slope)
-    return F.when(slope == 0, q).otherwise(root)
+    return F.when(slope == 0, q).otherwise(root + F.lit(0.0))  # no negative zero
 
 
 def mix(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), seed: str = SEED, **targets) -> DataFrame:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import chat_format, exact_dedup, jaccard_join, line_dedup, mixing, pii, quality, secret_scan, toxicity
-from ridelake.llm.shared import documents, labels
+from ridelake.llm import chat_format, decontamination, exact_dedup, jaccard_join, line_dedup, mixing, pii, quality, secret_scan, toxicity
+from ridelake.llm.shared import benchmark, documents, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(documents(spark, sf_dir))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(documents(spark, sf_dir))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_decontamination": op4_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_chat_format": op6_chat_format,
     "op7_pii": op7_pii,

@@ -67,10 +67,10 @@ passes AS (
   FROM queued JOIN targets ON queued.source IS NOT DISTINCT FROM targets.source)
 SELECT doc_id, size, source_size, target, first_words + next_words AS taken,
        CASE WHEN first_words > 0 THEN CASE WHEN slope = 0 THEN first_start / target ELSE
-         ((1 + slope) - sqrt((1 + slope) * (1 + slope) - 4 * slope * (first_start / target))) / (2 * slope)
+         ((1 + slope) - sqrt((1 + slope) * (1 + slope) - 4 * slope * (first_start / target))) / (2 * slope) + 0.0::DOUBLE
        END END AS "position",
        CASE WHEN next_words > 0 THEN CASE WHEN slope = 0 THEN next_start / target ELSE
-         ((1 + slope) - sqrt((1 + slope) * (1 + slope) - 4 * slope * (next_start / target))) / (2 * slope)
+         ((1 + slope) - sqrt((1 + slope) * (1 + slope) - 4 * slope * (next_start / target))) / (2 * slope) + 0.0::DOUBLE
        END END AS second_position
 FROM passes""",
 }
