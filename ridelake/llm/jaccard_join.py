@@ -275,6 +275,9 @@ def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
     return named.join(kept, ["_id", "_node"], "left_semi").dropDuplicates(["_id", "_node"]).drop("_id", "_node")
 
 
-@pandas_udf("binary")
-def node_of(texts: pd.Series) -> pd.Series:
-    return pd.Series([text_node(text, tokens(text)) for text in texts], dtype=object)
+def node_of(column: str):
+    @pandas_udf("binary")
+    def digest(texts: pd.Series) -> pd.Series:
+        return pd.Series([text_node(text, tokens(text)) for text in texts], dtype=object)
+
+    return digest(column)

@@ -50,10 +50,9 @@ def words_in(text: Column) -> Column:
 def work(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder that the session names in ``spark.checkpoint.dir``. Only a
     local session that names none, such as a test's, gets a folder of its own."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ridelake-"))
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and spark.sparkContext.master.startswith("local["):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ridelake-"))
     path = work_path(spark, name)
     _made.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
