@@ -213,7 +213,8 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
     - ``copy_id``: least id among documents with the same words, ``copies``: their number,
     - ``n_links``: other documents with similarity of ``threshold`` or more, copies included,
     - ``n_text_links``: different texts among them,
-    - ``text_node``: digest of the words, which tells apart rows that share an id.
+    - ``text_node``: digest of the words, ``class_node``: that of one text of the class. They tell apart texts
+      and classes of rows that share an id.
     """
     spark = docs.sparkSession
     python_tasks(spark)
@@ -250,27 +251,25 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLER
         F.sum("texts").alias("n_text_links"), F.sum("documents").alias("others"))
     linked = counts.join(classes, "node").join(texts.select("node", "copy_id"), "node")
     named = linked.groupBy("root").agg(F.min("copy_id").alias("class_id"))
-    linked = linked.join(named, "root").select("node", "class_id", "n_text_links", "others")
+    linked = linked.join(named, "root").select("node", "root", "class_id", "n_text_links", "others")
     per_text = texts.select("node", "copy_id", "copies").join(linked, "node", "left").select(
-        "node", "copy_id", "copies", F.coalesce("class_id", "copy_id").alias("class_id"),
+        "node", "copy_id", "copies", F.lower(F.hex(F.coalesce("root", "node"))).alias("class_node"),
+        F.when(F.col("root").isNull(), F.col("copy_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_text_links", F.lit(0)).alias("n_text_links"),
         (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     return signed.select("doc_id", "node").join(per_text, "node").select(
-        "doc_id", "class_id", "copy_id", "copies", "n_links", "n_text_links", F.lower(F.hex("node")).alias("text_node"))
+        "doc_id", "class_id", "copy_id", "copies", "n_links", "n_text_links", F.lower(F.hex("node")).alias("text_node"),
+        "class_node")
 
 
 def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that represent their class: the smallest id, and one row of those that share it.
-
-    A class without ids keeps one row of each of its texts. Rows and classes meet by id and digest of the words,
-    which are computed here as in ``join``.
+    """The rows of ``docs`` that represent their class: the smallest id, the smallest digest of the words where an
+    id has several texts of the class, and one row of those that repeat. Rows meet by id and digest.
     """
-    classes = join(docs, **options)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.unhex("text_node").alias("_node")
-    ).distinct()
-    # Where one id has several texts of a class, the smallest digest stands for it.
-    kept = kept.where("_id <> ''").groupBy("_id").agg(F.min("_node").alias("_node")).union(kept.where("_id = ''"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_node")).alias("first")
+    kept = join(docs, **options).groupBy("class_node").agg(first).select(
+        F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias("_id"),
+        F.unhex("first.text_node").alias("_node"))
     named = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_node": node_of("text")})
     return named.join(kept, ["_id", "_node"], "left_semi").dropDuplicates(["_id", "_node"]).drop("_id", "_node")
 
