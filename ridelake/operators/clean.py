@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, StringType
 
 from ridelake.functions.expressions import percent, settled
 from ridelake.schema import MAX_TRIP_MILES, MAX_TRIP_SECONDS, MIN_TRIP_SECONDS
@@ -76,6 +77,21 @@ def clean_trips(raw: DataFrame) -> DataFrame:
     return clean_dedup(raw.where(reduce(Column.__and__, [rule() for rule in RULES.values()])))
 
 
+def row_digest(df: DataFrame) -> Column:
+    """256 bits that are equal for equal rows only (but for chance): values tagged by column, NULLs left out,
+    -0.0 as 0.0 and every NaN alike, as the distinct compares them."""
+    parts = []
+    for field in df.schema.fields:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (FloatType, DoubleType)):
+            value = value + F.lit(0.0)
+        text = value.cast("string")
+        if isinstance(field.dataType, StringType):
+            text = F.replace(text, F.lit("|"), F.lit("||"))
+        parts.append(F.concat(F.lit(f"{field.name}="), text))
+    return F.unhex(F.sha2(F.concat_ws("|", *parts), 256))
+
+
 def clean_summary(raw: DataFrame) -> DataFrame:
     """One row: rows in, rows kept, percent rejected, and kept rows whose fare is NaN.
 
@@ -101,14 +117,16 @@ def clean_summary(raw: DataFrame) -> DataFrame:
 def clean_funnel(raw: DataFrame) -> DataFrame:
     """Rows before and after each rule, in order, from one pass and one shuffle.
 
-    Grouping by all columns gives the distinct rows; the group sizes add up to the raw count.
+    What is shuffled is not the rows but their digests, with the number of rules a row passes in order; copies
+    collapse in the map tasks. The group sizes add up to the raw count.
     """
-    distinct = raw.groupBy(*[F.col(f"`{name}`") for name in raw.columns]).agg(
-        F.count(F.lit(1)).alias("__copies"))
-    survivors, passed = [], F.lit(True)
-    for name, rule in RULES.items():
-        passed = passed & rule()
-        survivors.append((name, F.count_if(passed)))
+    passed, level = F.lit(True), F.lit(0)
+    for rule in RULES.values():
+        passed = passed & F.coalesce(rule(), F.lit(False))
+        level = level + passed.cast("int")
+    distinct = raw.select(row_digest(raw).alias("__row"), level.cast("byte").alias("__level")).groupBy(
+        "__row", "__level").agg(F.count(F.lit(1)).alias("__copies"))
+    survivors = [(name, F.count_if(F.col("__level") > i)) for i, name in enumerate(RULES)]
     counts = distinct.agg(
         F.coalesce(F.sum("__copies"), F.lit(0)).alias("raw"),
         F.count(F.lit(1)).alias("dedup"),

@@ -41,14 +41,60 @@ def required(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for name in columns})
 
 
+_COMPARES = {"EqualTo", "EqualNullSafe", "LessThan", "LessThanOrEqual", "GreaterThan", "GreaterThanOrEqual",
+             "In", "InSet"}
+# Leaves that hold rows already, or none: there are no partitions to prune.
+_NO_FILES = {"LocalTableScanExec", "RangeExec", "RDDScanExec", "OneRowRelationExec", "EmptyRelationExec"}
+
+
+def _each(collection):
+    return [collection.apply(i) for i in range(collection.size())]
+
+
+def _bounds(expression) -> bool:
+    """Whether a filter restricts the values of a column: not merely that there is one."""
+    kind = expression.getClass().getSimpleName()
+    children = [_bounds(child) for child in _each(expression.children())] if kind in ("And", "Or") else []
+    if kind == "And":
+        return any(children)
+    if kind == "Or":
+        return all(children)
+    return kind in _COMPARES
+
+
+def _check_plan(plan) -> None:
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _check_plan(plan.initialPlan())
+    for subquery in _each(plan.subqueries()):
+        _check_plan(subquery)
+    children = _each(plan.children())
+    for child in children:
+        _check_plan(child)
+    if children:
+        return
+    if kind == "InMemoryTableScanExec":
+        return _check_plan(plan.relation().cachedPlan())
+    if kind in ("SubqueryExec", "SubqueryBroadcastExec", "ReusedSubqueryExec"):
+        return _check_plan(plan.child())
+    if kind == "FileSourceScanExec":
+        columns, filters = plan.relation().partitionSchema(), plan.partitionFilters()
+    elif kind == "BatchScanExec" and hasattr(plan.scan(), "readPartitionSchema"):
+        columns, filters = plan.scan().fileIndex().partitionSchema(), plan.scan().partitionFilters()
+    elif kind in _NO_FILES:
+        return
+    else:
+        raise MissingPartitionFilter(f"cannot tell what is read by {kind}")
+    if not columns.isEmpty() and not any(_bounds(f) for f in _each(filters)):
+        raise MissingPartitionFilter(
+            f"filter on the partition column is required: {', '.join(columns.fieldNames())}")
+
+
 def require_partition_filter(df: DataFrame) -> DataFrame:
-    """Refuse a plan that scans a partitioned table without a filter on its partition column."""
-    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
-    for position in range(leaves.size()):
-        leaf = leaves.apply(position)
-        if leaf.getClass().getSimpleName() != "FileSourceScanExec":
-            continue
-        if not leaf.relation().partitionSchema().isEmpty() and leaf.partitionFilters().isEmpty():
-            columns = ", ".join(leaf.relation().partitionSchema().fieldNames())
-            raise MissingPartitionFilter(f"filter on the partition column is required: {columns}")
+    """Refuse a plan that scans a partitioned table without bounding a partition column.
+
+    Subqueries, cached frames and both Parquet readers are looked into; a scan of unknown kind is refused. A
+    comparison, ``IN`` or range bounds a column, ``IS NOT NULL`` does not.
+    """
+    _check_plan(df._jdf.queryExecution().executedPlan())
     return df

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ridelake.schema import DERIVED_COLUMNS
+from ridelake.schema import DERIVED_COLUMNS, MISSING_TEXT
 
 
 def trip_id(enriched: DataFrame) -> Column:
@@ -14,7 +14,8 @@ def trip_id(enriched: DataFrame) -> Column:
 
     Trips are distinct over all raw columns, so hashing all of them makes the id unique. Values
     are tagged with their column name and NULLs left out, hence neither the column order nor a
-    column that other files added changes an id.
+    column that other files added changes an id. A column that changes its type does change it: the digest is
+    of the values as text.
     """
     raw = sorted((f for f in enriched.schema.fields if f.name not in DERIVED_COLUMNS),
                  key=lambda field: field.name)
@@ -51,9 +52,9 @@ def to_fact_trips(enriched: DataFrame, service_type: str | Column) -> DataFrame:
 
 
 def to_dim_zones(lookup: DataFrame) -> DataFrame:
-    """The published zone lookup as the zone dimension."""
-    return lookup.select(
-        F.col("LocationID").cast("long").alias("location_id"),
+    """The published zone lookup as the zone dimension. A line without a number is no zone."""
+    return lookup.where(F.col("LocationID").try_cast("long").isNotNull()).select(
+        F.col("LocationID").try_cast("long").alias("location_id"),
         F.col("Borough").alias("borough"),
         F.col("Zone").alias("zone_name"),
         F.col("service_zone"),
@@ -61,9 +62,12 @@ def to_dim_zones(lookup: DataFrame) -> DataFrame:
 
 
 def exploration_zones(dim_zones: DataFrame) -> DataFrame:
-    """The zone dimension in the three-column form the exploration queries take."""
+    """The zone dimension in the three-column form the exploration queries take. Placeholders such as ``N/A``
+    are missing values here."""
+    def text(name: str) -> Column:
+        return F.when(~F.col(name).isin(MISSING_TEXT), F.col(name))
     return dim_zones.select(
         F.col("location_id").alias("zone_id"),
-        F.col("borough").alias("arrondissement"),
-        F.col("zone_name").alias("zone_nom"),
+        text("borough").alias("arrondissement"),
+        text("zone_name").alias("zone_nom"),
     )

@@ -22,6 +22,11 @@ def _trips() -> Column:
     return F.count(F.lit(1)).alias("nombre_trajets")
 
 
+def _value(name: str) -> Column:
+    """A measure whose NaN, like NULL, counts for nothing in sums and means."""
+    return F.when(~F.isnan(name), F.col(name))
+
+
 def _share(flag: str) -> Column:
     return F.lit(100.0) * F.avg(F.col(flag).cast("int"))
 
@@ -38,13 +43,13 @@ def explore_kpis(facts: DataFrame) -> DataFrame:
     """The indicator band: one row."""
     return facts.agg(
         _trips(),
-        settled(F.sum("revenu_total"), EXACT).alias("revenu_total"),
-        settled(F.avg("revenu_total"), EXACT).alias("revenu_moyen"),
-        settled(F.avg("tips"), EXACT).alias("pourboire_moyen"),
-        settled(F.avg("taux_reversement"), EXACT).alias("taux_reversement_moyen"),
-        settled(F.avg("trip_miles"), EXACT).alias("distance_moyenne"),
-        settled(F.avg("duree_minutes"), EXACT).alias("duree_moyenne_min"),
-        settled(F.avg("temps_attente_min"), EXACT).alias("temps_attente_moyen_min"),
+        settled(F.sum(_value("revenu_total")), EXACT).alias("revenu_total"),
+        settled(F.avg(_value("revenu_total")), EXACT).alias("revenu_moyen"),
+        settled(F.avg(_value("tips")), EXACT).alias("pourboire_moyen"),
+        settled(F.avg(_value("taux_reversement")), EXACT).alias("taux_reversement_moyen"),
+        settled(F.avg(_value("trip_miles")), EXACT).alias("distance_moyenne"),
+        settled(F.avg(_value("duree_minutes")), EXACT).alias("duree_moyenne_min"),
+        settled(F.avg(_value("temps_attente_min")), EXACT).alias("temps_attente_moyen_min"),
         settled(_share("est_partagee"), EXACT).alias("part_partagee"),
         settled(_share("est_pmr"), EXACT).alias("part_pmr"))
 
@@ -57,7 +62,7 @@ def explore_platform_share(facts: DataFrame) -> DataFrame:
     everything = Window.partitionBy()
     return (
         facts.groupBy("plateforme")
-        .agg(_trips(), settled(F.avg("revenu_total"), EXACT).alias("revenu_moyen"))
+        .agg(_trips(), settled(F.avg(_value("revenu_total")), EXACT).alias("revenu_moyen"))
         .withColumn("part_pct", settled(
             percent(F.col("nombre_trajets"), F.sum("nombre_trajets").over(everything)), EXACT))
         .select("plateforme", "nombre_trajets", "part_pct", "revenu_moyen")
@@ -68,10 +73,10 @@ def explore_platform_means(facts: DataFrame) -> DataFrame:
     return (
         facts.groupBy("plateforme")
         .agg(_trips(),
-             settled(F.avg("revenu_total"), 2).alias("revenu_moyen"),
-             settled(F.avg("tips"), 2).alias("pourboire_moyen"),
-             settled(F.avg("vitesse_mph"), 2).alias("vitesse_moyenne_mph"),
-             settled(F.avg("temps_attente_min"), 2).alias("temps_attente_moyen_min"))
+             settled(F.avg(_value("revenu_total")), 2).alias("revenu_moyen"),
+             settled(F.avg(_value("tips")), 2).alias("pourboire_moyen"),
+             settled(F.avg(_value("vitesse_mph")), 2).alias("vitesse_moyenne_mph"),
+             settled(F.avg(_value("temps_attente_min")), 2).alias("temps_attente_moyen_min"))
         .orderBy("plateforme"))
 
 
@@ -93,7 +98,7 @@ def explore_by_month(facts: DataFrame) -> DataFrame:
     month = F.concat_ws("-", F.col("annee").cast("string"), F.lpad(F.col("mois").cast("string"), 2, "0"))
     return (
         facts.groupBy("annee", "mois", "plateforme")
-        .agg(settled(F.sum("revenu_total"), 2).alias("revenu_total"))
+        .agg(settled(F.sum(_value("revenu_total")), 2).alias("revenu_total"))
         .select(month.alias("annee_mois"), "plateforme", "revenu_total")
         .orderBy("annee_mois", "plateforme"))
 
@@ -104,8 +109,8 @@ def explore_by_zone(facts: DataFrame) -> DataFrame:
         facts.where(F.col("PULocationID").isNotNull())
         .groupBy(F.col("PULocationID").alias("zone_id"))
         .agg(_trips(),
-             settled(F.sum("revenu_total"), 2).alias("revenu_total"),
-             settled(F.avg("revenu_total"), 2).alias("revenu_moyen")))
+             settled(F.sum(_value("revenu_total")), 2).alias("revenu_total"),
+             settled(F.avg(_value("revenu_total")), 2).alias("revenu_moyen")))
 
 
 def explore_zone_labels(facts: DataFrame, zones: DataFrame | None) -> DataFrame:
@@ -123,12 +128,12 @@ def explore_zone_labels(facts: DataFrame, zones: DataFrame | None) -> DataFrame:
     return by_zone.join(zones, "zone_id", "left").withColumn("libelle", label)
 
 
-def explore_top15(facts: DataFrame, zones: DataFrame | None) -> DataFrame:
+def explore_top15(facts: DataFrame, zones: DataFrame | None, n: int = TOP_ZONES) -> DataFrame:
     return (
         explore_zone_labels(facts, zones)
         .select("zone_id", "libelle", "nombre_trajets")
         .orderBy(F.desc("nombre_trajets"), "zone_id", "libelle")
-        .limit(TOP_ZONES))
+        .limit(n))
 
 
 def explore_zone_table(facts: DataFrame, zones: DataFrame | None) -> DataFrame:
@@ -138,13 +143,22 @@ def explore_zone_table(facts: DataFrame, zones: DataFrame | None) -> DataFrame:
         .orderBy(F.desc("revenu_total"), "zone_id", "libelle"))
 
 
-def explore_preview(facts: DataFrame, ordered: bool = True) -> DataFrame:
-    """The first trips. Ordered, the answer is repeatable but all trips are read (each task keeps
-    its own first rows only); unordered, Spark stops as soon as it has enough of them."""
+def explore_preview(facts: DataFrame, ordered: bool = True, n: int = PREVIEW_ROWS) -> DataFrame:
+    """The first ``n`` trips. Unordered, Spark stops as soon as it has enough of them.
+
+    Ordered, the answer is repeatable and reads few dates: trips are counted by date, which needs the partition
+    column only; the first date by which there are enough bounds the scan, and only its tasks' first rows meet.
+    """
     if not ordered:
-        return facts.limit(PREVIEW_ROWS)
+        return facts.limit(n)
+    # One row per date, so the running count is over thousands of rows however many trips there are.
+    per_date = facts.where("date_trajet IS NOT NULL").groupBy("date_trajet").agg(F.count(F.lit(1)).alias("trips"))
+    so_far = per_date.select("date_trajet", F.sum("trips").over(Window.orderBy("date_trajet")).alias("so_far"))
+    last = so_far.agg(F.coalesce(
+        F.min(F.when(F.col("so_far") >= n, F.col("date_trajet"))), F.max("date_trajet")).alias("last"))
     rest = [name for name in FACT_COLUMNS if name != "date_trajet"]
-    return facts.orderBy("date_trajet", *rest).limit(PREVIEW_ROWS)
+    near = facts.where((F.col("date_trajet") <= last.scalar()) | F.col("date_trajet").isNull())
+    return near.orderBy("date_trajet", *rest).limit(n)
 
 
 def explore_row_count(facts: DataFrame) -> DataFrame:

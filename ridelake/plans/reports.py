@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridelake.functions.expressions import in_range, percent, settled
+from ridelake.operators.quality import require_partition_filter
 
 TOP_ZONES = 20
 
@@ -20,7 +21,7 @@ def _trips() -> Column:
 
 
 def _between(fact_trips: DataFrame, start: object, end: object) -> DataFrame:
-    return fact_trips.where(in_range(F.col("pickup_date"), start, end))
+    return require_partition_filter(fact_trips.where(in_range(F.col("pickup_date"), start, end)))
 
 
 def report_daily(fact_trips: DataFrame, start: object, end: object) -> DataFrame:
@@ -43,8 +44,9 @@ def report_heatmap(fact_trips: DataFrame, start: object, end: object) -> DataFra
         .orderBy("jour_semaine", "heure"))
 
 
-def report_top_zones(fact_trips: DataFrame, dim_zones: DataFrame, start: object, end: object) -> DataFrame:
-    """The twenty pickup zones with most trips; names settle ties."""
+def report_top_zones(fact_trips: DataFrame, dim_zones: DataFrame, start: object, end: object,
+                     n: int = TOP_ZONES) -> DataFrame:
+    """The ``n`` pickup zones with most trips; names settle ties."""
     by_id = (
         _between(fact_trips, start, end)
         .groupBy("pickup_location_id")
@@ -54,11 +56,12 @@ def report_top_zones(fact_trips: DataFrame, dim_zones: DataFrame, start: object,
         .groupBy(F.col("borough").alias("arrondissement"), F.col("zone_name").alias("zone"))
         .agg(F.sum("n").alias("nb_courses"), settled(F.sum("amount"), 2).alias("revenu_total_usd"))
         .orderBy(F.desc("nb_courses"), "zone", "arrondissement")
-        .limit(TOP_ZONES))
+        .limit(n))
 
 
-def report_top_od(fact_trips: DataFrame, dim_zones: DataFrame, start: object, end: object) -> DataFrame:
-    """The twenty busiest origin-destination pairs; names settle ties."""
+def report_top_od(fact_trips: DataFrame, dim_zones: DataFrame, start: object, end: object,
+                  n: int = TOP_ZONES) -> DataFrame:
+    """The ``n`` busiest origin-destination pairs; names settle ties."""
     by_ids = (
         _between(fact_trips, start, end)
         .groupBy("pickup_location_id", "dropoff_location_id")
@@ -78,7 +81,7 @@ def report_top_od(fact_trips: DataFrame, dim_zones: DataFrame, start: object, en
              settled(F.sum("amount") / F.nullif(F.sum("amount_n"), F.lit(0)), 2)
              .alias("montant_moyen_usd"))
         .orderBy(F.desc("nb_courses"), "zone_depart", "zone_arrivee")
-        .limit(TOP_ZONES))
+        .limit(n))
 
 
 def report_tipping(fact_trips: DataFrame, start: object, end: object) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -21,17 +20,23 @@ DEFAULTS = {
 }
 
 MIB = 1024 * 1024
+# What Spark takes for the size of rows it knows nothing about is of this order (2 to the power of 63).
+UNKNOWN_BYTES = 2**62
 
-# Input bytes per shuffle partition, and the most partitions worth asking for:
-# beyond that the map x reduce block count costs more than a spilling task.
-BYTES_PER_SHUFFLE_PARTITION = 256 * MIB
-MAX_SHUFFLE_PARTITIONS = 40_000
+# Parquet grows to about this many times its size as rows; a shuffle partition is sized by the latter.
+DECODED_TIMES = 4
+DECODED_BYTES_PER_PARTITION = 1024 * MIB
 
 # Scan tasks are of the usual size until there would be too many of them to schedule and shuffle.
 SMALLEST_SPLIT, LARGEST_SPLIT = 128 * MIB, 1024 * MIB
 MAX_SCAN_TASKS = 200_000
 
+# What a write task is given, and hence the size of a file: larger when there would be very many.
+SMALLEST_WRITE, LARGEST_WRITE = 128 * MIB, 1024 * MIB
+FILES_WANTED = 100_000
+
 SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
+ADVISORY_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -51,16 +56,11 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the session; one of our own only for a local master."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    """The shared folder that the session names in ``spark.checkpoint.dir`` or has set as checkpoint folder.
+    There is no default: a folder that only one machine sees would lose data on a cluster."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        root = tempfile.mkdtemp(prefix="ridelake-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        raise ValueError("spark.checkpoint.dir must name a folder all executors share")
     return root.rstrip("/")
 
 
@@ -77,24 +77,36 @@ def discard(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so a lost executor costs no recomputation."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()
+@contextmanager
+def work_table(df: DataFrame, name: str):
+    """``df`` written to the shared folder, as a table that is deleted at the end of the block."""
+    spark, path = df.sparkSession, work_path(df.sparkSession, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        discard(spark, path)
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Size of a scan or a union of scans as Catalyst estimates it from file lengths."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Size of a scan or a union of scans as Catalyst estimates it from file lengths; 0 where it cannot tell."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < UNKNOWN_BYTES else 0
 
 
 def split_bytes(bytes_in: int) -> int:
     return min(max(SMALLEST_SPLIT, -(-bytes_in // MAX_SCAN_TASKS)), LARGEST_SPLIT)
 
 
-def shuffle_partitions(bytes_in: int, floor: int) -> int:
-    wanted = -(-bytes_in // BYTES_PER_SHUFFLE_PARTITION)
-    return max(floor, min(wanted, MAX_SHUFFLE_PARTITIONS))
+def shuffle_partitions(bytes_in: int, floor: int, most: int | None = None) -> int:
+    """Partitions of about ``DECODED_BYTES_PER_PARTITION`` as rows. ``most`` is for clusters whose shuffle
+    service cannot hold so many blocks; partitions then spill instead."""
+    wanted = max(floor, -(-bytes_in * DECODED_TIMES // DECODED_BYTES_PER_PARTITION))
+    return wanted if most is None else min(wanted, max(floor, most))
+
+
+def write_bytes(bytes_in: int) -> int:
+    return min(max(SMALLEST_WRITE, -(-bytes_in // FILES_WANTED)), LARGEST_WRITE)
 
 
 @contextmanager
@@ -114,12 +126,15 @@ def settings(spark: SparkSession, values: dict[str, str]):
 
 
 @contextmanager
-def sized_for(spark: SparkSession, bytes_in: int):
-    """Task sizes for jobs over ``bytes_in``: larger scan tasks when there are very many, and
+def sized_for(spark: SparkSession, bytes_in: int, most_partitions: int | None = None):
+    """Task sizes for jobs over ``bytes_in``: larger scan and write tasks when there are very many, and
     enough shuffle partitions to start with. AQE merges what proves small."""
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     asked = int(spark.conf.get(INITIAL_PARTITIONS, None) or 0)
-    wanted = max(shuffle_partitions(bytes_in, floor), asked)
+    wanted = max(shuffle_partitions(bytes_in, floor, most_partitions), asked)
+    values = {INITIAL_PARTITIONS: str(wanted), SPLIT_BYTES: str(split_bytes(bytes_in))}
+    if write_bytes(bytes_in) > SMALLEST_WRITE:
+        values[ADVISORY_BYTES] = str(write_bytes(bytes_in))
     log.info("shuffles start with %d partitions for %d bytes", wanted, bytes_in)
-    with settings(spark, {INITIAL_PARTITIONS: str(wanted), SPLIT_BYTES: str(split_bytes(bytes_in))}):
+    with settings(spark, values):
         yield

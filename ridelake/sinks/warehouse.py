@@ -21,28 +21,28 @@ TABLES = {FACT_TABLE: FACT_PARTITION, **{name: None for name in MARTS}}
 
 # Declared columns of the star schema.
 FACT_TRIPS_COLUMNS = {
-    "trip_id": ("STRING NOT NULL", "unique identifier of the trip"),
-    "pickup_datetime": ("TIMESTAMP NOT NULL", "start of the trip"),
-    "dropoff_datetime": ("TIMESTAMP NOT NULL", "end of the trip"),
-    "pickup_location_id": ("BIGINT", "pickup zone"),
-    "dropoff_location_id": ("BIGINT", "dropoff zone"),
-    "trip_miles": ("DOUBLE", "distance in miles"),
-    "trip_duration_min": ("DOUBLE", "duration in minutes"),
-    "avg_speed_mph": ("DOUBLE", "mean speed in miles per hour"),
-    "base_fare": ("DOUBLE", "base fare in USD"),
-    "tips": ("DOUBLE", "tip in USD"),
-    "tolls": ("DOUBLE", "tolls in USD"),
-    "total_amount": ("DOUBLE", "total paid in USD"),
-    "service_type": ("STRING", "yellow, green, fhv or fhvhv"),
-    "pickup_hour": ("BIGINT", "hour of pickup, 0-23"),
-    "pickup_dayofweek": ("BIGINT", "weekday of pickup, 1 = Sunday"),
-    STAR_PARTITION: ("DATE", "date of pickup, the partition column"),
+    "trip_id": ("STRING NOT NULL", "digest of the raw row"),
+    "pickup_datetime": ("TIMESTAMP NOT NULL", "when the ride began"),
+    "dropoff_datetime": ("TIMESTAMP NOT NULL", "when the ride ended"),
+    "pickup_location_id": ("BIGINT", "zone it began in"),
+    "dropoff_location_id": ("BIGINT", "zone it ended in"),
+    "trip_miles": ("DOUBLE", "miles driven"),
+    "trip_duration_min": ("DOUBLE", "minutes driven"),
+    "avg_speed_mph": ("DOUBLE", "miles per hour"),
+    "base_fare": ("DOUBLE", "fare before extras"),
+    "tips": ("DOUBLE", "given on top"),
+    "tolls": ("DOUBLE", "road charges"),
+    "total_amount": ("DOUBLE", "fare and extras"),
+    "service_type": ("STRING", "kind of ride"),
+    "pickup_hour": ("BIGINT", "0 to 23"),
+    "pickup_dayofweek": ("BIGINT", "Sunday is 1"),
+    STAR_PARTITION: ("DATE", "day it began; partitions the table"),
 }
 DIM_ZONES_COLUMNS = {
-    "location_id": ("BIGINT NOT NULL", "identifier of the zone"),
-    "borough": ("STRING", "borough"),
-    "zone_name": ("STRING", "name of the zone"),
-    "service_zone": ("STRING", "service zone"),
+    "location_id": ("BIGINT NOT NULL", "zone number"),
+    "borough": ("STRING", "district"),
+    "zone_name": ("STRING", "what the zone is called"),
+    "service_zone": ("STRING", "licence area"),
 }
 
 
@@ -62,15 +62,18 @@ def create_dim_zones(spark: SparkSession, db: str) -> None:
     _create(spark, f"{db}.dim_zones", DIM_ZONES_COLUMNS)
 
 
-def load_fact_trips(fact_trips: DataFrame, db: str) -> int:
+def load_fact_trips(fact_trips: DataFrame, db: str, laid_out: bool = False) -> int:
     """Replace the rows of the table; returns how many it then has.
 
-    Required columns are enforced in the same pass, and zones cluster the rows of a date.
+    Required columns are enforced in the same pass, and zones cluster the rows of a date. Rows that are
+    ``laid_out`` come from files that hold one date each: they are sorted within tasks and not shuffled.
     """
     spark = fact_trips.sparkSession
     create_fact_trips(spark, db)
     checked = required(fact_trips, FACT_REQUIRED).select(*FACT_TRIPS_COLUMNS)
-    rows = spread(checked, STAR_PARTITION, "pickup_location_id", "dropoff_location_id")
+    cluster = ["pickup_location_id", "dropoff_location_id"]
+    rows = (checked.sortWithinPartitions(STAR_PARTITION, *cluster) if laid_out
+            else spread(checked, STAR_PARTITION, *cluster))
     # Dates that no longer occur must go too, whatever the session's overwrite mode.
     with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
         rows.write.mode("overwrite").insertInto(f"{db}.fact_trips")
@@ -96,26 +99,29 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return first
 
 
-def load_tables(spark: SparkSession, base: str, db: str) -> dict[str, int]:
-    """Replace each warehouse table by its processed Parquet files; returns ``{table: rows}``.
+def load_tables(spark: SparkSession, base: str, db: str) -> tuple[dict[str, int], list[str]]:
+    """Make the processed Parquet files the warehouse's tables; returns ``{table: rows}`` and the failures.
 
-    A table without files is skipped with a warning; one that fails is logged and the rest go on.
-    The rows are counted in the loaded table, so a task that ran twice is not counted twice.
+    The files are registered where they lie, not copied. A table without files is skipped with a warning; one
+    that fails is logged and the rest go on.
     """
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {db}")
     loaded: dict[str, int] = {}
+    failed: list[str] = []
     for table, partition in TABLES.items():
         try:
             source = existing(lambda: spark.read.parquet(f"{base}/{table}"))
             if source is None:
                 log.warning("table skipped, no files: %s", table)
                 continue
-            writer = source.write.mode("overwrite").format("parquet")
+            rows = source.count()
+            spark.sql(f"DROP TABLE IF EXISTS {db}.{table}")
+            spark.catalog.createTable(f"{db}.{table}", path=f"{base}/{table}", source="parquet")
             if partition:
-                writer = writer.partitionBy(partition)
-            writer.saveAsTable(f"{db}.{table}")
-            loaded[table] = spark.table(f"{db}.{table}").count()
-            log.info("table %s loaded: %d row(s)", table, loaded[table])
+                spark.catalog.recoverPartitions(f"{db}.{table}")
+            loaded[table] = rows
+            log.info("table %s loaded: %d row(s)", table, rows)
         except Exception:  # one bad table must not stop the others
             log.exception("loading %s failed", table)
-    return loaded
+            failed.append(table)
+    return loaded, failed

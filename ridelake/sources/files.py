@@ -93,7 +93,7 @@ def _mergeable(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str
     return groups
 
 
-def _common_schema(schemas: Sequence[StructType]) -> StructType | None:
+def common_schema(schemas: Sequence[StructType]) -> StructType | None:
     """All columns in order of appearance, or None if two schemas disagree on a type."""
     types: dict[str, object] = {}
     for schema in schemas:
@@ -117,7 +117,7 @@ def scan_files(
     if schema is not None:
         return prepare(spark.read.schema(schema).parquet(*paths))
     groups = _mergeable(spark, paths)
-    target = _common_schema([widened(found) for _, found in groups])
+    target = common_schema([widened(found) for _, found in groups])
     if target is not None:
         return prepare(spark.read.schema(target).parquet(*paths))
     log.info("%d file(s) in %d schemas", len(paths), len(groups))
@@ -147,7 +147,8 @@ def read_unified(spark: SparkSession, glob: str, schema: StructType | None = Non
 
 def with_source_file(df: DataFrame) -> DataFrame:
     """Add the name of the file each row comes from (only directly above a scan)."""
-    return df.select("*", F.col("_metadata.file_name").alias(SOURCE_FILE))
+    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+    return df.select("*", F.url_decode(encoded).alias(SOURCE_FILE))
 
 
 def head_per_file(spark: SparkSession, paths: Sequence[str], n: int = 10) -> DataFrame:

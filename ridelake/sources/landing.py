@@ -1,28 +1,36 @@
 """Landing raw files in the lake, each once.
 
-The lake is a Parquet table partitioned by source file. Next to it a manifest, one row per landing,
-remembers the size of the file that was landed: a file of the same name and size is skipped, one
-that changed replaces its partition. Data is written before the manifest, so a landing that dies in
-between is simply done again.
+Each landing writes a version folder of its own, ``version=…/source_file=…``, beside what is there. Then it
+appends one row for each file to the manifest: name, length, version, rows and schema. That append is the
+commit: readers take only the versions that the manifest's latest row of a file names, so a landing that dies
+before it has changed nothing, and one that dies after it is complete. Versions no longer named are deleted last.
+
+A file is skipped if the manifest has its name and length *and* the lake holds that version with all its rows.
 """
 
 from __future__ import annotations
 
+import json
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ridelake.session import checkpointed
+from ridelake.session import input_bytes, sized_for, work_table
 from ridelake.sources.files import (
-    SOURCE_FILE, existing, file_name, list_files, literal_path, read_unified, scan_files,
-    with_source_file)
+    SOURCE_FILE, common_schema, existing, file_name, list_files, literal_path, scan_files, union_tolerant,
+    widen_ints, widened, with_source_file)
 
 log = logging.getLogger(__name__)
 
 SKIP, REPLACE, NEW = "skip", "replace", "new"
+VERSION = "version"
 # A leading underscore hides the manifest from readers of the lake folder.
 MANIFEST = "_manifest"
+MANIFEST_SCHEMA = "name string, length long, version string, rows long, schema string, landed_at timestamp"
+_PLACE = [StructField(VERSION, StringType()), StructField(SOURCE_FILE, StringType())]
 
 
 def landing_actions(source: DataFrame, lake: DataFrame) -> DataFrame:
@@ -35,62 +43,123 @@ def landing_actions(source: DataFrame, lake: DataFrame) -> DataFrame:
         .otherwise(REPLACE).alias("action"))
 
 
-def landed_files(spark: SparkSession, lake: str) -> DataFrame:
-    """``(name, length)`` of what the lake holds, by the latest landing of each name."""
-    log_rows = existing(lambda: spark.read.parquet(f"{lake}/{MANIFEST}"))
-    if log_rows is None:
-        return spark.createDataFrame([], "name string, length long")
-    return log_rows.groupBy("name").agg(F.max_by("length", "landed_at").alias("length"))
+def manifest(spark: SparkSession, lake: str) -> DataFrame:
+    """The latest landing of each name."""
+    rows = existing(lambda: spark.read.schema(MANIFEST_SCHEMA).parquet(f"{lake}/{MANIFEST}"))
+    if rows is None:
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    latest = F.max_by(F.struct("length", "version", "rows", "schema"), F.struct("landed_at", "version"))
+    return rows.groupBy("name").agg(latest.alias("last")).select("name", "last.*")
+
 
+def _stored(spark: SparkSession, lake: str, schema: StructType | None = None) -> DataFrame | None:
+    """Everything in the lake folder, committed or not; without a schema only where rows are."""
+    fields = [*(schema.fields if schema else []), *_PLACE]
+    return existing(lambda: (
+        spark.read.schema(StructType(fields)).option("basePath", lake).parquet(f"{lake}/{VERSION}=*")))
 
-def _drop_partitions(spark: SparkSession, lake: str, names: list[str]) -> None:
-    """Remove replaced partitions first: a new file without rows would not overwrite the old one."""
-    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for name in names:
-        path = jvm.org.apache.hadoop.fs.Path(f"{lake}/{SOURCE_FILE}={name}")
-        path.getFileSystem(hadoop).delete(path, True)
+
+def landed_files(spark: SparkSession, lake: str) -> DataFrame:
+    """``(name, length)`` of the files that the lake holds as the manifest says. Row counts come from footers."""
+    named, held = manifest(spark, lake), _stored(spark, lake)
+    if held is None:
+        return named.where("rows = 0").select("name", "length")
+    counted = held.groupBy(VERSION, F.col(SOURCE_FILE).alias("name")).agg(F.count(F.lit(1)).alias("held"))
+    return named.join(counted, ["name", VERSION], "left").where(
+        F.coalesce("held", F.lit(0)) == F.col("rows")).select("name", "length")
+
+
+def _delete_stale(spark: SparkSession, lake: str) -> None:
+    """Remove folders of versions that no file has as its latest. Names come from the folders themselves."""
+    named = {(row[VERSION], row["name"]) for row in manifest(spark, lake).select(VERSION, "name").toLocalIterator()}
+    versions = {version for version, _ in named}
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(lake)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    for version in files.listStatus(path):
+        key, _, value = version.getPath().getName().partition("=")
+        if key != VERSION:
+            continue
+        if value not in versions:
+            files.delete(version.getPath(), True)
+            continue
+        for held in files.listStatus(version.getPath()):
+            key, _, name = held.getPath().getName().partition("=")
+            if key == SOURCE_FILE and (value, unescape(name)) not in named:
+                files.delete(held.getPath(), True)
 
 
 def land_raw(spark: SparkSession, source_dir: str, lake: str, glob: str = "*.parquet") -> DataFrame:
-    """Bring the lake up to date with a folder of files; returns ``(path, action)`` of all of them.
+    """Bring the lake up to date with a folder of files; returns ``(name, action)`` of all of them.
 
-    Every task reads splits of source files and writes them to those files' partitions, so nothing
-    is shuffled. Running it again skips everything.
+    Every task reads splits of source files and writes them to those files' folders, so nothing is shuffled.
+    Running it again skips everything. One landing at a time; readers of a replaced version should be done.
     """
-    files = list_files(spark, source_dir, glob).select(
-        "path", file_name(F.col("path")).alias("name"), "length")
+    files = list_files(spark, source_dir, glob).select("path", file_name(F.col("path")).alias("name"), "length")
     decided = landing_actions(files.select("name", "length"), landed_files(spark, lake))
-    actions = checkpointed(decided.join(files.select("name", "path"), "name"))
-
-    todo = actions.where(F.col("action") != SKIP).orderBy("name").collect()
-    if todo:
-        _drop_partitions(spark, lake, [row["name"] for row in todo if row["action"] == REPLACE])
-        incoming = scan_files(spark, [literal_path(row["path"]) for row in todo], prepare=with_source_file)
-        (incoming.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(SOURCE_FILE).parquet(lake))
-        (actions.where(F.col("action") != SKIP)
-         .select("name", "length", F.current_timestamp().alias("landed_at"))
-         .coalesce(1).write.mode("append").parquet(f"{lake}/{MANIFEST}"))
+    with work_table(decided.join(files.select("name", "path"), "name"), "actions") as actions:
+        todo = actions.where(F.col("action") != SKIP).orderBy("name").collect()
+        if todo:
+            _land(spark, lake, [row["path"] for row in todo], actions.where(F.col("action") != SKIP))
+        done = spark.createDataFrame(actions.select("name", "action").collect(), "name string, action string")
     log.info("%d file(s) landed", len(todo))
-    return actions.select(
-        F.concat(F.lit(f"{lake}/{SOURCE_FILE}="), F.col("name")).alias("path"), "action")
+    return done
+
+
+def _land(spark: SparkSession, lake: str, paths: list[str], todo: DataFrame) -> None:
+    version = f"v{uuid.uuid4().hex}"
+    incoming = scan_files(spark, [literal_path(path) for path in paths], prepare=with_source_file)
+    with sized_for(spark, input_bytes(incoming)):
+        incoming.write.partitionBy(SOURCE_FILE).parquet(f"{lake}/{VERSION}={version}")
+    schema = StructType([f for f in incoming.schema.fields if f.name != SOURCE_FILE])
+    counted = spark.read.schema(StructType([_PLACE[1]])).parquet(f"{lake}/{VERSION}={version}").groupBy(
+        F.col(SOURCE_FILE).alias("name")).agg(F.count(F.lit(1)).alias("rows"))
+    (todo.join(counted, "name", "left").select(
+        "name", "length", F.lit(version).alias(VERSION), F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
+        F.lit(schema.json()).alias("schema"), F.current_timestamp().alias("landed_at"))
+     .coalesce(1).write.mode("append").parquet(f"{lake}/{MANIFEST}"))
+    _delete_stale(spark, lake)
 
 
 def read_lake(spark: SparkSession, lake: str) -> DataFrame:
-    """All raw trips of the lake, without the name of the file they came from."""
-    return read_unified(spark, f"{lake}/{SOURCE_FILE}=*/*.parquet").drop(SOURCE_FILE)
+    """All raw trips of the lake, without the name of the file they came from.
+
+    One scan of the folder with the schema that the manifest knows; no footer is merged and no path listed
+    by us. Only where landings disagree on a type beyond integer width is there one scan for each schema.
+    """
+    named = manifest(spark, lake)
+    schemas = [row["schema"] for row in named.select("schema").distinct().orderBy("schema").collect()]
+    if not schemas:
+        raise FileNotFoundError(f"nothing has landed in {lake}")
+    parsed = [StructType.fromJson(json.loads(text)) for text in schemas]
+    target = common_schema([widened(schema) for schema in parsed])
+
+    def scan(schema: StructType, current: DataFrame) -> DataFrame:
+        wanted = current.select(VERSION, F.col("name").alias(SOURCE_FILE))
+        held = _stored(spark, lake, schema)
+        if held is None:  # all files are empty
+            return spark.createDataFrame([], schema)
+        return held.join(wanted, [VERSION, SOURCE_FILE], "left_semi").drop(VERSION, SOURCE_FILE)
+
+    if target is not None:
+        return scan(target, named)
+    return union_tolerant([
+        widen_ints(scan(schema, named.where(F.col("schema") == text))) for text, schema in zip(schemas, parsed)])
 
 
 def write_sample(df: DataFrame, path: str) -> DataFrame:
     """Write the samples of files that ``path`` has none of yet; returns the names written.
 
-    ``df`` carries ``source_file``. An existing sample is kept as it is.
+    ``df`` carries ``source_file``. An existing sample is kept as it is. Samples are small: they are computed
+    once, into the shared folder, and go on from there.
     """
     spark = df.sparkSession
     fresh = df
     known = existing(lambda: spark.read.parquet(path))
     if known is not None:
         fresh = df.join(known.select(SOURCE_FILE).distinct(), SOURCE_FILE, "left_anti")
-    names = checkpointed(fresh.select(SOURCE_FILE).distinct())
-    fresh.join(names, SOURCE_FILE, "left_semi").write.mode("append").partitionBy(SOURCE_FILE).parquet(path)
-    return names
+    with work_table(fresh, "sample") as sampled:
+        names = sampled.select(SOURCE_FILE).distinct().orderBy(SOURCE_FILE).collect()
+        sampled.write.mode("append").partitionBy(SOURCE_FILE).parquet(path)
+    return spark.createDataFrame(names, f"{SOURCE_FILE} string")

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from ridelake.operators.star import exploration_zones, to_dim_zones
 from ridelake.plans.explore import facts_with_day_fr
-from ridelake.schema import FACT_COLUMNS, MISSING_TEXT
+from ridelake.schema import FACT_COLUMNS
 
 
 def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
@@ -15,20 +15,10 @@ def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
-def _text(name: str) -> Column:
-    return F.when(~F.col(name).isin(MISSING_TEXT), F.col(name))
-
-
 def read_zones(spark: SparkSession, path: str) -> DataFrame | None:
-    """``(zone_id, arrondissement, zone_nom)``, or None if the lookup cannot be read.
-
-    Placeholders such as ``N/A`` are missing values here.
-    """
+    """``(zone_id, arrondissement, zone_nom)``, or None if the lookup cannot be read."""
     try:
-        return read_zone_lookup(spark, path).select(
-            F.col("LocationID").try_cast("long").alias("zone_id"),
-            _text("Borough").alias("arrondissement"),
-            _text("Zone").alias("zone_nom"))
+        return exploration_zones(to_dim_zones(read_zone_lookup(spark, path)))
     except AnalysisException:
         return None
 

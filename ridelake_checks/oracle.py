@@ -411,3 +411,35 @@ UNION ALL SELECT 'date', CAST(min(date_trajet) AS VARCHAR) FROM facts
 UNION ALL SELECT 'date', CAST(max(date_trajet) AS VARCHAR) FROM facts
 UNION ALL SELECT DISTINCT 'arrondissement', arrondissement FROM zones WHERE arrondissement IS NOT NULL"""),
 }
+
+_COUNTS = ORACLE["warehouse_row_counts"]
+ORACLE |= {
+    "landed_rows": _with(TRIPS, """
+SELECT 'fhvhv_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.parquet' AS name,
+       count(*) AS "rows"
+FROM raw WHERE year(pickup_datetime) IN (1996, 1997) GROUP BY 1"""),
+    "raw_unified_drift": _with(TRIPS, """
+SELECT "PULocationID", count(*) AS trips, count(CASE WHEN l_linenumber <= 3 THEN airport_fee END) AS fees,
+       sum("DOLocationID")::BIGINT AS dropoffs
+FROM raw GROUP BY 1"""),
+    "zones_from_csv": ORACLE["dim_zones"],
+    "csv_roundtrip": _with(
+        ENRICHED, f"SELECT heure, plateforme, nombre_trajets FROM ({MARTS['trajets_par_heure']})"),
+    "loaded_tables": _COUNTS + """
+UNION ALL SELECT 'fact_trips', count(*) FROM enriched
+UNION ALL SELECT 'dim_zones', count(*) FROM nation""",
+    "sample_written": """
+SELECT 'lineitem.parquet' AS source_file, least(10, count(*)) AS "rows" FROM lineitem
+UNION ALL SELECT 'orders.parquet', least(10, count(*)) FROM orders""",
+    "listing": "SELECT name, true AS has_bytes FROM (VALUES ('lineitem.parquet'), ('orders.parquet')) AS v(name)",
+    "profile": """
+SELECT column_name AS "column", CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+       WHEN 'VARCHAR' THEN 'string' ELSE lower(data_type) END AS "type", (SELECT count(*) FROM nation) AS "rows"
+FROM duckdb_columns() WHERE table_name = 'nation'""",
+    "empty_signal": _with(ENRICHED, "\nUNION ALL ".join(
+        f"SELECT '{name}' AS plateforme, count(*) = 0 AS empty FROM enriched WHERE plateforme = '{name}'"
+        for name in ("Uber", "Nobody"))),
+    "stored_preview": ORACLE["explore_preview"],
+    **{f"rollup_{name}": ORACLE[name] for name in MARTS},
+    **{f"stored_{name}": sql for name, sql in ORACLE.items() if name.startswith("report_")},
+}

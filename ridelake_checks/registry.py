@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridelake_checks import loads
 from ridelake_checks.trip_view import (
     DATASET, REPORT_END, REPORT_START, raw_trips, service_type, table, zone_lookup)
 from ridelake.operators import clean, enrich, filters, marts, quality, star
 from ridelake.plans import explore, reports
-from ridelake.session import settings, work_path
+from ridelake.session import settings
 from ridelake.sinks.parquet import write_facts
 from ridelake.sinks.warehouse import table_row_counts
 from ridelake.sources import files, landing
@@ -118,9 +119,8 @@ def landing_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def facts_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts after a partitioned write and a read that recovers the date from the paths."""
-    path = work_path(spark, "facts")
-    # The test tables hold few trips per date: without this, AQE would write all dates in one task.
-    with settings(spark, {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}):
+    path = loads.place(spark, "facts")
+    with settings(spark, loads.SMALL):
         write_facts(facts(spark, sf_dir), path)
     return read_partitioned(spark, path)
 
@@ -215,4 +215,23 @@ QUERIES: dict[str, Query] = {
     "explore_preview": _on_facts(explore.explore_preview),
     "explore_row_count": _on_facts(explore.explore_row_count),
     "explore_domains": _on_facts_and_zones(explore.explore_domains),
+    # what writes, and what reads what was written
+    "landed_rows": loads.landed_rows,
+    "raw_unified_drift": loads.raw_unified_drift,
+    "zones_from_csv": loads.zones_from_csv,
+    "csv_roundtrip": loads.csv_roundtrip,
+    "loaded_tables": loads.loaded_tables,
+    "sample_written": loads.sample_written,
+    "listing": loads.listing,
+    "profile": loads.profile,
+    "empty_signal": loads.empty_signal,
+    "stored_preview": loads.stored_preview,
+    **{f"rollup_{name}": loads.mart_from_rollup(name) for name in marts.MARTS},
+    "stored_report_daily": loads.on_stored_star(reports.report_daily, REPORT_START, REPORT_END),
+    "stored_report_heatmap": loads.on_stored_star(reports.report_heatmap, REPORT_START, REPORT_END),
+    "stored_report_top_zones": loads.on_stored_star(
+        reports.report_top_zones, REPORT_START, REPORT_END, zones=True),
+    "stored_report_top_od": loads.on_stored_star(reports.report_top_od, REPORT_START, REPORT_END, zones=True),
+    "stored_report_tipping": loads.on_stored_star(reports.report_tipping, REPORT_START, REPORT_END),
+    "stored_report_quality": loads.on_stored_star(reports.report_quality, REPORT_START, REPORT_END),
 }

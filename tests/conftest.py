@@ -32,6 +32,7 @@ def spark(tmp_path_factory):
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "4g",
         "spark.sql.warehouse.dir": str(home / "warehouse"),
+        "spark.checkpoint.dir": str(home / "shared"),
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.sql.files.openCostInBytes": "64k",
     })

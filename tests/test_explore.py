@@ -95,3 +95,12 @@ def test_months_preview_and_domains(facts, zones):
         ("arrondissement", "Bronx"), ("arrondissement", "Queens"), ("date", "2024-01-07"),
         ("date", "2024-01-15"), ("plateforme", "Autre"), ("plateforme", "Lyft"), ("plateforme", "Uber")]
     assert [row.domaine for row in explore.explore_domains(facts.limit(0), None).collect()] == []
+
+
+def test_nan_counts_for_nothing(spark, trips):
+    rows = to_facts(enrich_trips(trips({}, {"base_passenger_fare": float("nan")})))
+    one = to_facts(enrich_trips(trips({})))
+    got, want = explore.explore_kpis(rows).first(), explore.explore_kpis(one).first()
+    assert got.nombre_trajets == 2 and got.revenu_total == want.revenu_total and got.revenu_moyen == want.revenu_moyen
+    assert explore.explore_by_month(rows).first().revenu_total == explore.explore_by_month(one).first().revenu_total
+    assert explore.explore_by_zone(rows).first().revenu_moyen == explore.explore_by_zone(one).first().revenu_moyen

@@ -72,29 +72,58 @@ def test_both_ways_of_writing_facts_agree(spark, trips, tmp_path):
         session.discard(spark, str(tmp_path))
 
 
-def test_without_star_seven_tables(spark, months, tmp_path):
-    outcome = pipeline.run(spark, months, str(tmp_path / "lake"), str(tmp_path / "out"), "pipe_db7")
-    assert len(outcome.tables) == 7
-
-
-def test_shuffles_are_sized_by_input_and_restored(spark, months):
+def leftovers(spark):
+    import os
+    root = session.checkpoint_root(spark).removeprefix("file:")
+    return [name for name in os.listdir(root) if "enriched" in name or "rollup" in name or "actions" in name]
+
+
+def test_without_readable_zones_the_trips_are_loaded_and_missing_months_told(spark, months, tmp_path):
+    outcome = pipeline.run(
+        spark, months, str(tmp_path / "lake"), str(tmp_path / "out"), "pipe_db7", dataset="fhvhv_tripdata",
+        years=[2024], months=["01", "02", "03"])
+    assert len(outcome.tables) == 8 and outcome.tables["fact_trips"] == 5
+    assert outcome.missing == ["fhvhv_tripdata_2024-03.parquet"] and not outcome.failed
+    outcome = pipeline.run(
+        spark, months, str(tmp_path / "lake"), str(tmp_path / "out"), "pipe_db7", str(tmp_path / "none.csv"))
+    assert outcome.failed == ["dim_zones"] and outcome.tables["fact_trips"] == 5
+    assert leftovers(spark) == []
+
+
+def test_a_failed_run_leaves_nothing_in_the_work_folder(spark, months, tmp_path, monkeypatch):
+    def broken(*_):
+        raise RuntimeError("broken")
+    for name in ("build_marts", "load_tables"):
+        with monkeypatch.context() as patch:
+            patch.setattr(pipeline, name, broken)
+            with pytest.raises(RuntimeError):
+                pipeline.run(spark, months, str(tmp_path / "lake"), str(tmp_path / "out"), "pipe_db8")
+        assert leftovers(spark) == []
+
+
+def test_sizes_follow_the_decoded_input_without_a_ceiling(spark, months):
+    tib = 2**40
     assert session.shuffle_partitions(0, 8) == 8
-    assert session.shuffle_partitions(100 * 2**40, 200) == session.MAX_SHUFFLE_PARTITIONS
-    assert session.shuffle_partitions(2**40, 200) == 4096
+    assert [session.shuffle_partitions(n * tib, 200) for n in (1, 10, 100, 1024)] == [4096, 40_960, 409_600, 4_194_304]
+    assert session.shuffle_partitions(100 * tib, 200, most=50_000) == 50_000
+    assert [session.write_bytes(n * tib) >> 20 for n in (1, 10, 100, 1024)] == [128, 128, 1024, 1024]
+    assert session.split_bytes(100 * tib) == 549755814 and session.split_bytes(2**60) == 2**30
     raw = spark.read.parquet(f"{months}/*.parquet")
     assert 0 < session.input_bytes(raw) < 10**6
     before = spark.conf.get(session.INITIAL_PARTITIONS, None)
-    with session.sized_for(spark, 2**40):
-        assert spark.conf.get(session.INITIAL_PARTITIONS) == "4096"
-        assert spark.conf.get(session.SPLIT_BYTES) == str(128 * 2**20)
-    assert session.split_bytes(100 * 2**40) == 549755814
-    assert session.split_bytes(2**60) == 2**30
+    with session.sized_for(spark, 100 * tib):
+        assert spark.conf.get(session.INITIAL_PARTITIONS) == "409600"
+        assert spark.conf.get(session.ADVISORY_BYTES) == str(2**30)
     assert spark.conf.get(session.INITIAL_PARTITIONS, None) == before
 
 
-def test_checkpoint_folder_is_the_one_the_session_names(spark):
+def test_work_folder_is_the_one_the_session_names(spark):
     root = session.checkpoint_root(spark)
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    assert root == (named or spark.sparkContext.getCheckpointDir()).rstrip("/")
+    assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert session.work_path(spark, "x").startswith(f"{root}/ridelake-x-")
     assert session.work_path(spark, "x") != session.work_path(spark, "x")
+    with pytest.raises(RuntimeError), session.work_table(spark.range(3), "block") as table:
+        path = table.inputFiles()[0]
+        assert table.count() == 3
+        raise RuntimeError
+    assert existing(lambda: spark.read.parquet(path.rsplit("/", 1)[0])) is None

@@ -8,12 +8,15 @@ import pytest
 
 from ridelake_checks.registry import QUERIES, facts
 from ridelake_checks.trip_view import raw_trips
-from ridelake.operators import clean, enrich, filters, marts
+from ridelake.operators import clean, enrich, filters, marts, quality, star
 from ridelake.plans import explore
 from ridelake.session import settings, work_path
+from ridelake.sinks import warehouse
 
 SF = "/root/testdata/sf0.001"
-LAZY = [name for name in QUERIES if name != "facts_roundtrip"]
+WRITES = {"facts_roundtrip", "landed_rows", "raw_unified_drift", "zones_from_csv", "csv_roundtrip", "loaded_tables",
+          "sample_written", "empty_signal", "stored_preview"}
+LAZY = [name for name in QUERIES if name not in WRITES and not name.startswith(("rollup_", "stored_"))]
 
 
 def plan(df) -> str:
@@ -55,7 +58,67 @@ def test_marts_read_only_the_columns_they_need(spark, landed):
     assert {part.split(":")[0] for part in schema.split(",")} <= {
         "plateforme", "revenu_total", "jour_semaine", "nom_jour", "est_weekend"}
     assert plan(explore.explore_top15(stored, None)).count("TakeOrderedAndProject") == 1
-    assert "TakeOrderedAndProject" in plan(explore.explore_preview(stored))
+
+
+def test_preview_reads_the_first_dates_only(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    rows = spark.range(1000).selectExpr(
+        *[f"cast(id AS int) AS {c}" for c in explore.FACT_COLUMNS if c != "date_trajet"],
+        "date_add(date'2024-01-01', cast(id div 100 AS int)) AS date_trajet")
+    rows.write.partitionBy("date_trajet").parquet(path)
+    first = explore.explore_preview(spark.read.parquet(path), n=150)
+    days = sorted({str(row.date_trajet) for row in first.collect()})
+    assert days == ["2024-01-01", "2024-01-02"] and first.count() == 150
+    text = plan(first)
+    assert re.search(r"PartitionFilters: \[[^\]]*date_trajet[^\]]*<= Subquery", text) or "scalar-subquery" in text.lower()
+
+
+def test_funnel_shuffles_digests_and_not_columns(spark):
+    text = plan(clean.clean_funnel(raw_trips(spark, SF)))
+    for line in text.splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "__row" in line and "trip_miles" not in line and "pickup_datetime" not in line
+
+
+def test_star_load_does_not_shuffle_staged_rows(spark, tmp_path, monkeypatch):
+    seen = []
+    path = str(tmp_path / "enriched")
+    enrich.enrich_trips(clean.clean_trips(raw_trips(spark, SF))).where("date_trajet < '1996-02-01'").coalesce(
+        2).write.partitionBy("date_trajet").parquet(path)
+    staged = spark.read.parquet(path)
+    rows = star.to_fact_trips(staged, "fhvhv")
+    seen.append(plan(rows.sortWithinPartitions("pickup_date")))
+    assert "Exchange" not in seen[0]
+    assert warehouse.load_fact_trips(rows, "plan_db", laid_out=True) == staged.count()
+
+
+def test_partition_guard_refuses_what_reads_everything(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(20).selectExpr("id", "date_add(date'2024-01-01', cast(id % 5 AS int)) AS day").write.partitionBy(
+        "day").parquet(path)
+    stored = spark.read.parquet(path)
+    stored.createOrReplaceTempView("guarded")
+    bounded = "day >= date'2024-01-02'"
+    for good in (stored.where(bounded), stored.where("day IN (date'2024-01-02', date'2024-01-03')"),
+                 stored.where(f"{bounded} AND id > 3"), spark.range(3)):
+        assert quality.require_partition_filter(good) is good
+    cached = stored.cache()
+    cached.count()
+    try:
+        with pytest.raises(quality.MissingPartitionFilter):
+            quality.require_partition_filter(cached.where("id > 1"))
+    finally:
+        cached.unpersist()
+    bad = [stored, stored.where("day IS NOT NULL"), stored.where(f"{bounded} OR id = 1"),
+           stored.alias("a").join(stored.alias("b"), "day"),
+           spark.sql(f"SELECT * FROM guarded WHERE {bounded} AND id > (SELECT avg(id) FROM guarded)")]
+    for frame in bad:
+        with pytest.raises(quality.MissingPartitionFilter):
+            quality.require_partition_filter(frame)
+    with settings(spark, {"spark.sql.sources.useV1SourceList": ""}):
+        with pytest.raises(quality.MissingPartitionFilter):
+            quality.require_partition_filter(spark.read.parquet(path))
+        quality.require_partition_filter(spark.read.parquet(path).where(bounded))
 
 
 def test_zone_joins_follow_the_aggregation(spark):

@@ -87,8 +87,9 @@ def test_load_tables_skips_absent_and_survives_broken_ones(spark, facts, tmp_pat
     with open(f"{base}/revenu_par_zone_depart/part.parquet", "w") as broken:
         broken.write("not parquet")
     for _ in range(2):
-        loaded = warehouse.load_tables(spark, base, "load_db")
+        loaded, failed = warehouse.load_tables(spark, base, "load_db")
         assert loaded == {"trajets_nettoyes": 7, "kpi_globaux": 1, "trajets_par_heure": 2}
+        assert failed == ["revenu_par_zone_depart"]
     table = spark.table("load_db.trajets_nettoyes")
     assert dict(table.dtypes)["date_trajet"] == "date"
     counts = warehouse.table_row_counts({name: spark.table(f"load_db.{name}") for name in loaded})
@@ -101,7 +102,7 @@ def raw_file(spark, folder, name, sql):
 
 
 def actions(df):
-    return {row.path.rsplit("=", 1)[1].removesuffix(".parquet"): row.action for row in df.collect()}
+    return {row["name"].removesuffix(".parquet"): row.action for row in df.collect()}
 
 
 def test_landing_is_idempotent_and_replaces_what_changed(spark, tmp_path):
@@ -147,6 +148,51 @@ def test_an_interrupted_landing_is_done_again(spark, tmp_path, monkeypatch):
     assert landing.read_lake(spark, lake).count() == 10
 
 
+def test_an_interrupted_replacement_changes_nothing_and_is_done_again(spark, tmp_path, monkeypatch):
+    """The new version is written, the manifest is not, and then the source returns to its old file."""
+    source, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    raw_file(spark, source, "t_1", "SELECT id a FROM range(10)")
+    raw_file(spark, source, "t_2", "SELECT id a FROM range(3)")
+    landing.land_raw(spark, source, lake)
+    raw_file(spark, source, "t_1", "SELECT id a FROM range(500)")
+    with monkeypatch.context() as patch:
+        patch.setattr(landing.F, "current_timestamp", lambda: landing.F.raise_error(landing.F.lit("interrupted")))
+        with pytest.raises(Exception):
+            landing.land_raw(spark, source, lake)
+    assert landing.read_lake(spark, lake).count() == 13
+    raw_file(spark, source, "t_1", "SELECT id a FROM range(10)")
+    assert actions(landing.land_raw(spark, source, lake)) == {"t_1": "skip", "t_2": "skip"}
+    assert landing.read_lake(spark, lake).count() == 13
+    raw_file(spark, source, "t_1", "SELECT id a FROM range(500)")
+    assert actions(landing.land_raw(spark, source, lake)) == {"t_1": "replace", "t_2": "skip"}
+    assert landing.read_lake(spark, lake).count() == 503
+
+
+def test_a_partition_removed_by_hand_lands_again(spark, tmp_path):
+    import shutil
+    source, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    raw_file(spark, source, "t_1", "SELECT id a FROM range(10)")
+    raw_file(spark, source, "t_2", "SELECT id a FROM range(3)")
+    landing.land_raw(spark, source, lake)
+    shutil.rmtree(glob.glob(f"{lake}/version=*/source_file=t_1.parquet")[0])
+    assert actions(landing.land_raw(spark, source, lake)) == {"t_1": "new", "t_2": "skip"}
+    assert landing.read_lake(spark, lake).count() == 13
+
+
+def test_names_with_special_characters(spark, tmp_path):
+    source, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    names = ["t=1", "t 2", "t%203", "t+4"]
+    for i, name in enumerate(names):
+        raw_file(spark, source, name, f"SELECT id a FROM range({i + 5})")
+    landing.land_raw(spark, source, lake)
+    assert set(actions(landing.land_raw(spark, source, lake)).values()) == {"skip"}
+    raw_file(spark, source, "t=1", "SELECT id a FROM range(0)")
+    raw_file(spark, source, "t 2", "SELECT id a FROM range(100)")
+    found = actions(landing.land_raw(spark, source, lake))
+    assert {n: found[n] for n in names} == {"t=1": "replace", "t 2": "replace", "t%203": "skip", "t+4": "skip"}
+    assert landing.read_lake(spark, lake).count() == 0 + 100 + 7 + 8
+
+
 def test_samples_are_written_once(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "samples")
     raw_file(spark, source, "t_1", "SELECT id a FROM range(30)")
