@@ -54,18 +54,18 @@ _ANY_TITLE = "|".join(t for titles in TITLES.values() for t in titles)
 _ANY_GIVEN = "|".join(n for names in GIVEN.values() for n in names)
 # In the order in which they are tried at a place.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]?\d)",
-    "card": r"(?<![\w+])\d(?:[ -]?\d){12,18}(?!\w)",
+    "card": r"(?<![\w+-])(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\w)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "phone": r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}(?!\w)"
+    "phone": r"(?<![\w+])\+\d{8,15}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,5}(?!\w)"
              r"|(?<![\w-])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?![\w-])",
-    "person": rf"(?<!\p{{L}})(?:(?:{_ANY_TITLE})\.? {_NAME}(?: {_NAME}){{0,2}}|(?:{_ANY_GIVEN}) {_NAME})",
+    "person": rf"(?=\p{{Lu}})(?<!\p{{L}})(?:(?:{_ANY_TITLE})\.? {_NAME}(?: {_NAME}){{0,2}}|(?:{_ANY_GIVEN}) {_NAME})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-# A quick look at a text: nothing is found in one without this.
-_HINT = rf"[@\d]|(?<!\p{{L}})(?:{_ANY_TITLE}|{_ANY_GIVEN})\.? \p{{Lu}}"
+# A quick look at a text: nothing is found in one without either. Only at capitals are names compared.
+_HINTS = [r"[@\d]", rf"(?=\p{{Lu}})(?<!\p{{L}})(?:{_ANY_TITLE}|{_ANY_GIVEN})\.? \p{{Lu}}"]
 _CASES = {"lower": "abcdefghijklmnopqrstuvwxyz", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789"}
 
 
@@ -243,7 +243,8 @@ def replacement(entity: Column, attempts: Column | None, key: str) -> Column:
 
 def entities(text: Column) -> Column:
     none = F.expr("cast(array() as array<string>)")
-    return F.when(text.rlike(_HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
+    hinted = text.rlike(_HINTS[0]) | text.rlike(_HINTS[1])
+    return F.when(hinted, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
 
 
 def redrawn(docs: DataFrame, key: str = KEY) -> DataFrame:
