@@ -18,10 +18,13 @@ endpoint    URL or assigned host                                 an access ident
                                                                  secret of any kind (all three parts)
 ==========  ==================================================  ============================================
 
-The join is by text, bucket of ``REACH`` code points and role. Before it, each bucket keeps only the first
-and the last interval of a role, which decide it: a part in the bucket before is near enough if the last one
-is, one in the bucket after if the first one is. So nothing multiplies, however dense the parts are. Texts that
-are equal are linked once. Only texts with a weak candidate and a complement anywhere are exploded.
+The join is by text, bucket of ``REACH`` code points and role. A part is in every bucket from that of its start
+to that of its end, so parts in one bucket are near enough, and of two parts that share none, near ones are in
+neighbouring buckets. Before the join, each bucket keeps only the least start and the greatest end of a role,
+which decide it: a part in the bucket before is near enough if the greatest end is, one in the bucket after if
+the least start is. So nothing multiplies, however dense the parts are, and a long part has one row for each
+``REACH`` of its code points. Texts that are equal are linked once. Only texts with a weak candidate and a
+complement anywhere are exploded.
 """
 
 from __future__ import annotations
@@ -114,18 +117,20 @@ def link(found: DataFrame, reach: int = REACH) -> DataFrame:
     texts = found.where("size(weak) > 0 AND size(base) + size(weak) > 1").groupBy("digest").agg(
         F.first("base").alias("base"), F.first("weak").alias("weak"))
     marks = stored(texts.select("digest", F.explode(F.concat("base", "weak")).alias("part")).select(
-        "digest", "part", role[F.col("part.kind")].alias("role"),
-        F.floor(F.col("part.start") / reach).alias("bucket")), "parts")
-    ends = marks.groupBy("digest", "bucket", "role").agg(
+        "digest", "part", role[F.col("part.kind")].alias("role")), "parts")
+    # To the bucket of the exclusive end: a gap of exactly ``reach`` then never skips a bucket.
+    touched = F.explode(F.sequence(
+        F.floor(F.col("part.start") / reach), F.floor(F.col("part.end") / reach))).alias("bucket")
+    ends = marks.select("digest", "part", "role", touched).groupBy("digest", "bucket", "role").agg(
         F.min("part.start").alias("first_start"), F.max("part.end").alias("last_end"))
     near = ends.select("digest", "role", "first_start", "last_end", F.explode(F.array(
         *[F.struct((F.col("bucket") + d).alias("bucket"), F.lit(d).alias("side")) for d in (-1, 0, 1)])).alias("at")
         ).select("digest", F.col("role").alias("needed"), "first_start", "last_end", "at.*")
     needs = F.create_map(*[x for kind, roles in NEEDS.items() for x in (
         F.lit(kind), F.array(*[F.lit(r) for r in roles]))])
-    asks = marks.where(F.col("part.kind").isin(*WEAK)).select(
+    asks = marks.where(F.col("part.kind").isin(*WEAK)).select("digest", "part", touched).select(
         "digest", "bucket", "part", F.explode(needs[F.col("part.kind")]).alias("needed"))
-    # side -1: the complement's bucket follows ours; 1: it comes before.
+    # side -1: the complement's bucket follows ours; 1: it comes before. Within a long part both are ours.
     close = (F.col("side") == 0) | (
         (F.col("side") == -1) & (F.col("first_start") - F.col("part.end") <= reach)) | (
         (F.col("side") == 1) & (F.col("part.start") - F.col("last_end") <= reach))
