@@ -3,8 +3,11 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
-from ridelake.sources import files, tables
+from ridelake.sources import files, landing, tables
+from ridelake_checks import loads
+from ridelake_checks.trip_view import raw_trips
 
 
 @pytest.fixture(scope="module")
@@ -126,3 +129,20 @@ def test_facts_come_back_with_date_and_french_day(spark, trips, tmp_path):
     write_facts(to_facts(enrich_trips(trips({}))), str(tmp_path / "facts"))
     row = tables.read_facts(spark, str(tmp_path / "facts")).first()
     assert (row.date_trajet, row.nom_jour_fr) == (dt.date(2024, 1, 7), "Dimanche")
+
+
+def test_all_months_of_the_trips_are_landed(spark, monkeypatch):
+    """What the lake holds after the last of the query's landings is every trip, whatever its year."""
+    sf, land, lakes = "/root/testdata/sf0.001", landing.land_raw, []
+    month = F.date_format("pickup_datetime", "yyyy-MM")
+
+    def seen(spark, source, lake):
+        done = land(spark, source, lake)
+        lakes.append(dict(landing.read_lake(spark, lake).groupBy(month).count().collect()))
+        return done
+
+    monkeypatch.setattr(landing, "land_raw", seen)
+    loads.landed_rows(spark, sf)
+    expected = dict(raw_trips(spark, sf).where("pickup_datetime IS NOT NULL").groupBy(month).count().collect())
+    assert len(lakes) == 3 and lakes[0] == lakes[2] == expected
+    assert {at for at in expected if lakes[1][at] != expected[at]} == {"1997-06"}
