@@ -189,12 +189,22 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
+GRAIN = 2**53
+
+
+def in_share(share: float, salt: str) -> Column:
+    """Whether a document is in a hashed share of all; as fine as a double is."""
+    return F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(GRAIN)) < F.lit(int(share * GRAIN))
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, excluded: Column, most: int) -> DataFrame:
     """text and label of labelled documents; of many, a hashed share of about ``most`` (its ids are broadcast:
     at most ``most`` pairs of numbers, save for chance)."""
     usable = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where(~excluded).select("doc_id", label)
     share = min(1.0, most / max(usable.count(), 1))
-    drawn = usable.where(F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1_000_000)) < int(share * 1_000_000))
+    drawn = usable.where(in_share(share, "draw"))
+    if share < 1 and drawn.isEmpty():
+        raise ValueError(f"there are {label} labels, but none was drawn for training")
     return docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ridelake.llm.quality import training_rows
+from ridelake.llm.quality import in_share, training_rows
 from ridelake.llm.shared import python_tasks, stored
 from ridelake.llm.shingles import tokens
 
@@ -174,8 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
     positive = training_rows(docs, usable.where("toxic = 1"), "toxic", held_out(), MAX_POSITIVE).select(
         "text", fold, F.lit(1).alias("side"))
     share = min(1.0, MAX_UNLABELLED / max(docs.count(), 1))
-    unlabelled = docs.where(~held_out()).where(
-        F.pmod(F.xxhash64("doc_id", F.lit("unlabelled")), F.lit(1_000_000_000)) < int(share * 1_000_000_000)).select(
+    unlabelled = docs.where(~held_out()).where(in_share(share, "unlabelled")).select(
         "text", fold, F.lit(0).alias("side"))
     words = stored(positive.union(unlabelled).mapInArrow(
         _distinct_words, "side int, fold int, words array<string>"), "toxicity-words")

@@ -203,6 +203,14 @@ def test_classifiers_on_held_out_labels(spark, name, label, least):
     assert (rows["predicted"] == rows[label]).mean() > 0.95
 
 
+def test_training_rows_of_a_very_small_share(spark):
+    """Ten of twenty million labels are a share of 5e-7; and labels of which none is drawn are no silence."""
+    many = spark.range(20_000_000).selectExpr("id AS doc_id", "'x' AS text", "1 AS quality")
+    assert 1 <= quality.training_rows(many, many, "quality", quality.held_out(), 10).count() <= 30
+    with pytest.raises(ValueError):
+        quality.training_rows(many.limit(1000), many.limit(1000), "quality", quality.held_out(), 1e-9)
+
+
 @pytest.mark.parametrize("module", [quality, toxicity])
 def test_classifiers_awkward(spark, awkward, module):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
