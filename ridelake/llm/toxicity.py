@@ -13,9 +13,10 @@ Stems with too little of it are dropped.
 *Classifier.* Linear over a few numbers of a text: how many of its stems have how much evidence, and the largest.
 Its training documents were counted as well, so each gets the evidence counted in the other ``FOLDS - 1`` folds.
 
-Positives are documents marked toxic outside the held-out fifth, at most about ``MAX_POSITIVE``; unlabelled are all
-documents outside it, marked or not, of which a hashed share of about ``MAX_UNLABELLED`` is used. Their stems'
-numbers go to the driver: at most ``VOCABULARY`` for each. The prior is the share of toxic marks among all marks of
+Positives are documents marked toxic outside the held-out fifth; unlabelled are all documents outside it, marked or
+not. Stems are counted in all of them. The classifier's few weights are fitted on hashed shares, about
+``MAX_POSITIVE`` and ``MAX_UNLABELLED`` documents, whose numbers go to the driver. So do the stems with the most
+evidence, at most ``VOCABULARY``: every task keeps these in memory. The prior is the share of toxic marks among all marks of
 the training fold unless it is given. Scoring covers every whole text. Null counts as empty. Without positives
 all scores are 0.
 """
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ridelake.llm.quality import in_share, training_rows
+from ridelake.llm.quality import in_share
 from ridelake.llm.shared import python_tasks, stored
 from ridelake.llm.shingles import tokens
 
@@ -41,6 +42,8 @@ MAX_POSITIVE, MAX_UNLABELLED = 10_000, 20_000
 STEMS = range(3, 10)
 VOCABULARY, LEAST_DOCUMENTS, LEAST_EVIDENCE = 10_000, 3, 0.25
 FOLDS = 5
+# Rows of ids or stems up to which they are sent to all tasks; beyond, Spark joins as it sees fit.
+MAX_BROADCAST = 1_000_000
 LEVELS = np.array([0.25, 0.35, 0.45, 0.55, 0.65, 0.75])
 STEPS, RATE, DECAY = 800, 0.05, 3e-3
 
@@ -163,6 +166,10 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np.
     return w[:size], float(w[size])
 
 
+def _sent(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= MAX_BROADCAST else df
+
+
 def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Model:
     python_tasks(docs.sparkSession)
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out())
@@ -171,22 +178,33 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
         return NOTHING_KNOWN
     prior = toxic / marks if prior is None else prior
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold")
-    positive = training_rows(docs, usable.where("toxic = 1"), "toxic", held_out(), MAX_POSITIVE).select(
-        "text", fold, F.lit(1).alias("side"))
-    share = min(1.0, MAX_UNLABELLED / max(docs.count(), 1))
-    unlabelled = docs.where(~held_out()).where(in_share(share, "unlabelled")).select(
-        "text", fold, F.lit(0).alias("side"))
-    words = stored(positive.union(unlabelled).mapInArrow(
-        _distinct_words, "side int, fold int, words array<string>"), "toxicity-words")
+    positive = docs.join(_sent(usable.where("toxic = 1").select("doc_id"), toxic), "doc_id").select(
+        "doc_id", "text", fold, F.lit(1).alias("side"))
+    unlabelled = docs.where(~held_out()).select("doc_id", "text", fold, F.lit(0).alias("side"))
+    every = positive.union(unlabelled)
     n = np.zeros((FOLDS, 2))
-    for row in words.groupBy("fold", "side").count().collect():
+    for row in every.groupBy("fold", "side").count().collect():
         n[row["fold"], row["side"]] = row["count"]
     n_u, n_p = n.sum(axis=0)
     if not n_p or not n_u:
         return NOTHING_KNOWN
+    drawn = positive.where(in_share(min(1.0, MAX_POSITIVE / n_p), "draw")).union(
+        unlabelled.where(in_share(min(1.0, MAX_UNLABELLED / max(docs.count(), 1)), "unlabelled")))
+    words = stored(drawn.select("text", "fold", "side").mapInArrow(
+        _distinct_words, "side int, fold int, words array<string>"), "toxicity-words")
 
     slots = range(2 * FOLDS)
-    counted = words.mapInArrow(_stem_counts, "stem string, slot int, n long").groupBy("stem").agg(
+
+    def stems_of(rows: DataFrame) -> DataFrame:
+        return rows.select("text", "fold", "side").mapInArrow(
+            lambda batches: _stem_counts(_distinct_words(batches)), "stem string, slot int, n long")
+
+    # Only stems of enough positives can have evidence, so the others of the unlabelled are not shuffled.
+    of_positive = stored(stems_of(positive).groupBy("stem", "slot").agg(F.sum("n").alias("n")), "toxicity-stems")
+    enough = stored(of_positive.groupBy("stem").agg(F.sum("n").alias("n")).where(
+        F.col("n") >= LEAST_DOCUMENTS).select("stem"), "toxicity-enough")
+    of_all = stems_of(unlabelled).join(_sent(enough, enough.count()), "stem", "left_semi")
+    counted = of_positive.unionByName(of_all).groupBy("stem").agg(
         *[F.coalesce(F.sum(F.when(F.col("slot") == i, F.col("n"))), F.lit(0)).alias(f"n{i}") for i in slots])
     p, u = (sum((F.col(f"n{i}") for i in slots if i % 2 == side), F.lit(0)) for side in (1, 0))
     # Stems are ranked by the same bound as in ``evidence``.
@@ -215,6 +233,8 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
     sides = []
     for side in (1, 0):
         x = np.array(rows["x"][rows["side"] == side].tolist()).reshape(-1, N_MEASURES)
+        if not len(x):
+            raise ValueError("there are documents to learn toxicity from, but none was drawn")
         sides.append(x[np.lexsort(x.T)])  # the same model whatever order the rows come in
     centre, scale = sides[1].mean(axis=0), sides[1].std(axis=0) + 1e-3
     weights, bias = fit(*[(x - centre) / scale for x in sides], prior)

@@ -222,6 +222,16 @@ def test_classifiers_awkward(spark, awkward, module):
     assert module.scored(awkward.limit(0), module.train(awkward.limit(0), none)).count() == 0
 
 
+def test_stems_are_counted_in_all_documents(docs, spark, monkeypatch):
+    """A word of one toxic document in ten has evidence, however few documents the fit draws."""
+    monkeypatch.setattr(toxicity, "MAX_POSITIVE", 10)
+    monkeypatch.setattr(toxicity, "MAX_UNLABELLED", 100)
+    frame = docs(*[(i, f"plain words here {'zorgo' if i % 50 == 0 else 'again'}") for i in range(2000)])
+    labels = frame.selectExpr("doc_id", "1 AS quality", "cast(doc_id % 5 = 0 AS int) AS toxic")
+    known = toxicity.train(frame, labels).known
+    assert "=zorgo" in known and 0.6 < known["=zorgo"] < 0.7
+
+
 def test_mix_keeps_its_targets(spark, awkward, docs):
     rows = [(i, " ".join(["w"] * (i % 17 + 1)), f"s{i % 4}") for i in range(400)] + [(900, "a b c", None), (901, None, "s9")]
     got = mixing.mix(docs(*rows, extra=True)).toPandas()
