@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import chat_format, decontamination, exact_dedup, jaccard_join, line_dedup, mixing, pii, quality, secret_scan, toxicity
+from ridelake.llm import (
+    chat_format, decontamination, exact_dedup, filter_audit, importance_resampling, jaccard_join, line_dedup, mixing, packing,
+    pii, quality, secret_scan, toxicity)
 from ridelake.llm.shared import benchmark, documents, labels
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +65,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.orderBy(F.col("position").asc_nulls_last(), F.col("doc_id"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -74,4 +88,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }

@@ -73,4 +73,83 @@ SELECT doc_id, size, source_size, target, first_words + next_words AS taken,
          ((1 + slope) - sqrt((1 + slope) * (1 + slope) - 4 * slope * (next_start / target))) / (2 * slope) + 0.0::DOUBLE
        END END AS second_position
 FROM passes""",
+    "op11_filter_audit": r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+  FROM documents),
+words AS (SELECT *, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS words FROM texts),
+marks AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT part, coalesce(quality, 0) = 1 AS good, coalesce(toxic, 0) = 1 AS toxic,
+         (len(words) < 50)::INT
+         + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::INT
+         + 4 * (100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 5 * length(body))::INT
+         + 8 * regexp_matches(body, '[#$%&*|]')::INT
+         + 16 * coalesce(doc_id > first_id, false)::INT AS mask
+  FROM words LEFT JOIN marks USING (doc_id)),
+counts AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failed GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (
+  SELECT filter_order, step, bits[step] AS own, list_sum(bits[1:step])::INT - bits[step] AS earlier
+  FROM orders, range(1, 6) r(step)),
+audit AS (
+  SELECT part, filter_order, step, own,
+         sum(n) FILTER (mask & (own | earlier) = 0) AS kept,
+         sum(n) FILTER (mask & own > 0 AND mask & earlier = 0) AS removed,
+         sum(n) FILTER (mask & own > 0 AND mask & earlier > 0) AS redundant,
+         sum(n) FILTER (mask = own) AS unique_fails,
+         sum(good) FILTER (mask & own > 0 AND mask & earlier = 0) AS good_lost,
+         sum(toxic) FILTER (mask & own > 0 AND mask & earlier = 0) AS toxic_lost
+  FROM counts, steps GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley
+FROM audit""",
+    "op12_importance_resampling": r"""
+WITH RECURSIVE crc_steps AS (
+  SELECT i AS entry, i::BIGINT AS v, 0 AS step FROM range(256) r(i)
+  UNION ALL
+  SELECT entry, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, step + 1 FROM crc_steps WHERE step < 8),
+crc AS (SELECT list(v ORDER BY entry) AS steps FROM crc_steps WHERE step = 8),
+said AS (
+  SELECT 'd' AS side, row_number() OVER () AS place, doc_id, text FROM documents
+  UNION ALL SELECT 't', 0, NULL, text FROM benchmark),
+split AS (
+  SELECT side, place, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM said),
+used AS (
+  SELECT side, place, word, count(*) AS n FROM (SELECT side, place, unnest(words) AS word FROM split) GROUP BY ALL),
+coded AS (SELECT word, hex(encode(word)) AS code FROM (SELECT DISTINCT word FROM used)),
+bucketed AS (
+  SELECT word, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, [('0x' || substr(code, 2 * i + 1, 2))::BIGINT FOR i IN range(length(code) // 2)]),
+    lambda a, b: xor(a >> 8, steps[xor(a & 255, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM coded, crc),
+hits AS (SELECT side, place, bucket, n FROM used JOIN bucketed USING (word)),
+totals AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 't'), 0)::DOUBLE AS t
+  FROM hits GROUP BY bucket),
+every AS (SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM totals),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000))))::BIGINT AS gain
+  FROM totals, every),
+weights AS (
+  SELECT place, floor(sum(n * gain)::DOUBLE / sum(n)::DOUBLE)::BIGINT AS weight
+  FROM hits JOIN gains USING (bucket) WHERE side = 'd' GROUP BY place),
+scored AS (
+  SELECT place, doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((
+           ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+           / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM split LEFT JOIN weights USING (place) WHERE side = 'd'),
+able AS (
+  SELECT place, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, place) AS rank FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, rank
+FROM scored LEFT JOIN (SELECT * FROM able WHERE rank <= 10 * (SELECT count(*) FROM able) // 100) USING (place)""",
 }
