@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType, StringType, StructField, StructType
 
+from ridelake.sources.footers import by_schema, heads
+
 log = logging.getLogger(__name__)
 
 NARROW_INTS = (ByteType, ShortType, IntegerType)
@@ -70,10 +72,8 @@ def union_tolerant(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def _mergeable(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str], StructType]]:
-    """Split ``paths`` into groups whose footers Spark can merge, with the merged schema of each.
-
-    Footers are read by a Spark job per attempt. A group that does not merge is halved, so a
-    drift between two runs of months costs a logarithmic number of attempts and not one per file.
+    """Split ``paths`` into groups whose footers Spark can merge, with the merged schema of each: the way for files
+    whose footers only Spark can open. Each attempt is a job, and a group that does not merge is halved.
     """
     try:
         schema = spark.read.option("mergeSchema", True).parquet(*paths).schema
@@ -93,6 +93,14 @@ def _mergeable(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str
     return groups
 
 
+def schemas_of(spark: SparkSession, paths: Sequence[str]) -> tuple[list[tuple[list[str], StructType]], bool]:
+    """Paths grouped by schema, from one job over the footers; and whether the workers could open all of them."""
+    found = by_schema(spark, paths)
+    if not found.unknown:
+        return found.groups, True
+    return [*found.groups, *_mergeable(spark, found.unknown)], False
+
+
 def common_schema(schemas: Sequence[StructType]) -> StructType | None:
     """All columns in order of appearance, or None if two schemas disagree on a type."""
     types: dict[str, object] = {}
@@ -103,6 +111,18 @@ def common_schema(schemas: Sequence[StructType]) -> StructType | None:
     return StructType([StructField(name, kind) for name, kind in types.items()])
 
 
+def _unified(
+    spark: SparkSession, groups: list[tuple[list[str], StructType]], paths: Sequence[str],
+    read: Callable[[Sequence[str], StructType], DataFrame],
+) -> DataFrame:
+    """One frame of all groups: read at once where a common schema exists, else one frame for each schema."""
+    target = common_schema([widened(found) for _, found in groups])
+    if target is not None:
+        return read(paths, target)
+    log.info("%d file(s) in %d schemas", len(paths), len(groups))
+    return union_tolerant([widen_ints(read(part, found)) for part, found in groups])
+
+
 def scan_files(
     spark: SparkSession,
     paths: Sequence[str],
@@ -114,15 +134,12 @@ def scan_files(
     With a common schema this is a single scan: Spark reads INT32 as long and fills columns that
     a file lacks. Only where types differ beyond integer width is there one scan per schema.
     """
+    def read(part: Sequence[str], found: StructType) -> DataFrame:
+        return prepare(spark.read.schema(found).parquet(*part))
+
     if schema is not None:
-        return prepare(spark.read.schema(schema).parquet(*paths))
-    groups = _mergeable(spark, paths)
-    target = common_schema([widened(found) for _, found in groups])
-    if target is not None:
-        return prepare(spark.read.schema(target).parquet(*paths))
-    log.info("%d file(s) in %d schemas", len(paths), len(groups))
-    return union_tolerant([
-        widen_ints(prepare(spark.read.schema(found).parquet(*part))) for part, found in groups])
+        return read(paths, schema)
+    return _unified(spark, schemas_of(spark, paths)[0], paths, read)
 
 
 def resolve(spark: SparkSession, glob: str) -> list[str]:
@@ -154,12 +171,17 @@ def with_source_file(df: DataFrame) -> DataFrame:
 def head_per_file(spark: SparkSession, paths: Sequence[str], n: int = 10) -> DataFrame:
     """The first ``n`` rows of every file with the file's name; an empty file adds none.
 
-    The position of a row in its file decides, so the answer does not depend on how files are
-    split into tasks and no row is moved.
+    Tasks open the files and read only the row groups that hold these rows. Files that only Spark can open are
+    scanned, and the position of a row in its file decides.
     """
-    return scan_files(
-        spark, paths,
-        prepare=lambda df: with_source_file(df.where(F.col("_metadata.row_index") < n)))
+    groups, opened = schemas_of(spark, paths)
+    if opened:
+        return _unified(spark, groups, paths, lambda part, found: heads(spark, part, found, n, SOURCE_FILE))
+
+    def scanned(part: Sequence[str], found: StructType) -> DataFrame:
+        return with_source_file(spark.read.schema(found).parquet(*part).where(F.col("_metadata.row_index") < n))
+
+    return _unified(spark, groups, paths, scanned)
 
 
 def expected_files(

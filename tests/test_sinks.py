@@ -179,6 +179,75 @@ def test_a_partition_removed_by_hand_lands_again(spark, tmp_path):
     assert landing.read_lake(spark, lake).count() == 13
 
 
+def test_a_part_removed_or_cut_by_hand_lands_again(spark, tmp_path):
+    """The manifest knows each part file with its length; a listing shows what is gone."""
+    source, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    for i in (1, 2, 3):
+        raw_file(spark, source, f"t_{i}", f"SELECT id a FROM range({i * 10})")
+    landing.land_raw(spark, source, lake)
+    os.remove(glob.glob(f"{lake}/version=*/source_file=t_1.parquet/*.parquet")[0])
+    cut = glob.glob(f"{lake}/version=*/source_file=t_2.parquet/*.parquet")[0]
+    with open(cut, "r+b") as part:
+        part.truncate(os.path.getsize(cut) - 1)
+    assert actions(landing.land_raw(spark, source, lake)) == {"t_1": "new", "t_2": "new", "t_3": "skip"}
+    assert landing.read_lake(spark, lake).count() == 60
+
+
+def test_a_landing_opens_nothing_of_the_old_lake(spark, tmp_path):
+    """Old parts are replaced by bytes of the same length that no Parquet reader could open."""
+    source, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    for i in (1, 2):
+        raw_file(spark, source, f"t_{i}", f"SELECT id a FROM range({i * 10})")
+    landing.land_raw(spark, source, lake)
+    for part in glob.glob(f"{lake}/version=*/source_file=*/*.parquet"):
+        size = os.path.getsize(part)
+        with open(part, "wb") as broken:
+            broken.write(b"x" * size)
+    raw_file(spark, source, "t_3", "SELECT id a FROM range(5)")
+    assert actions(landing.land_raw(spark, source, lake)) == {"t_1": "skip", "t_2": "skip", "t_3": "new"}
+
+
+def test_two_racing_landings_both_end_complete(spark, tmp_path, monkeypatch):
+    """While the first has written and not committed, a second one lands the same files and one more."""
+    source, other, lake = str(tmp_path / "in"), str(tmp_path / "other"), str(tmp_path / "lake")
+    raw_file(spark, source, "t_1", "SELECT id a FROM range(10)")
+    raw_file(spark, source, "t_2", "SELECT id a FROM range(20)")
+    raw_file(spark, other, "t_1", "SELECT id a FROM range(10)")
+    raw_file(spark, other, "t_3", "SELECT id a FROM range(5)")
+    commit, raced = landing.try_commit, []
+
+    def late(*args):
+        if not raced:
+            raced.append(True)
+            landing.land_raw(spark, other, lake)
+        return commit(*args)
+
+    monkeypatch.setattr(landing, "try_commit", late)
+    landing.land_raw(spark, source, lake)
+    rows = {row["name"]: row["number"] for row in landing.manifest(spark, lake).collect()}
+    assert rows == {"t_1.parquet": 1, "t_2.parquet": 2, "t_3.parquet": 1}
+    assert landing.read_lake(spark, lake).count() == 35
+    assert len(glob.glob(f"{lake}/version=*/source_file=t_1.parquet")) == 1  # the loser's copy is gone
+    assert set(actions(landing.land_raw(spark, source, lake)).values()) == {"skip"}
+
+
+def test_a_commit_number_is_taken_once(spark, tmp_path):
+    lake = str(tmp_path)
+    assert landing.last_commit(spark, lake) == 0
+    assert [landing.try_commit(spark, lake, n, "x") for n in (1, 1, 2)] == [True, False, True]
+    assert landing.last_commit(spark, lake) == 2
+
+
+def test_vacuum_removes_only_old_versions_nobody_names(spark, tmp_path):
+    source, lake = str(tmp_path / "in"), str(tmp_path / "lake")
+    raw_file(spark, source, "t_1", "SELECT id a FROM range(10)")
+    landing.land_raw(spark, source, lake)
+    os.makedirs(f"{lake}/version=vdead/source_file=t_9.parquet")
+    assert landing.vacuum(spark, lake) == []
+    assert landing.vacuum(spark, lake, older_than_hours=-1) == ["vdead"]
+    assert landing.read_lake(spark, lake).count() == 10
+
+
 def test_names_with_special_characters(spark, tmp_path):
     source, lake = str(tmp_path / "in"), str(tmp_path / "lake")
     names = ["t=1", "t 2", "t%203", "t+4"]
@@ -209,6 +278,19 @@ def test_samples_are_written_once(spark, tmp_path):
     assert spark.read.parquet(out).count() == 14
 
 
+def test_a_half_written_sample_is_made_again(spark, tmp_path):
+    """Rows without an entry in the ledger do not count, and are replaced."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "samples")
+    raw_file(spark, source, "t_1", "SELECT id a FROM range(30)")
+    raw_file(spark, source, "t_2", "SELECT id a FROM range(4)")
+    paths = files.resolve(spark, f"{source}/*.parquet")
+    landing.write_sample(files.head_per_file(spark, paths[:1]), out)
+    spark.sql("SELECT id a, 't_2.parquet' source_file FROM range(2)").write.mode("append").partitionBy(
+        "source_file").parquet(out)
+    assert [r.source_file for r in landing.write_sample(files.head_per_file(spark, paths), out).collect()] == ["t_2.parquet"]
+    assert dict(spark.read.parquet(out).groupBy("source_file").count().collect()) == {"t_1.parquet": 10, "t_2.parquet": 4}
+
+
 def test_landing_actions(spark):
     source = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "name string, length long")
     lake = spark.createDataFrame([("a", 1), ("b", 9), ("d", 4)], "name string, length long")
