@@ -72,9 +72,13 @@ def clean_fare(df: DataFrame) -> DataFrame:
     return df.where(fare_not_negative())
 
 
+def passes_rules() -> Column:
+    return reduce(Column.__and__, [rule() for rule in RULES.values()])
+
+
 def clean_trips(raw: DataFrame) -> DataFrame:
     """All rules, then the distinct: only rows worth keeping are shuffled."""
-    return clean_dedup(raw.where(reduce(Column.__and__, [rule() for rule in RULES.values()])))
+    return clean_dedup(raw.where(passes_rules()))
 
 
 def row_digest(df: DataFrame) -> Column:

@@ -99,13 +99,19 @@ def _number(column: str) -> Column:
     return F.col(column).cast("int") if column in flags else F.col(column)
 
 
-def rollup_trips(trips: DataFrame) -> DataFrame:
-    """Sums and non-null counts of every measured column at the finest grain of the marts."""
+def rollup_trips(trips: DataFrame, keys: list[str] = GRAIN) -> DataFrame:
+    """Sums and non-null counts of every measured column at the finest grain of the marts, or at a finer one."""
     parts = [F.count(F.lit(1)).alias(ROWS)]
     for column in MEASURED:
         parts += [F.sum(_number(column)).alias(_sum(column)),
                   F.count(column).alias(_count(column))]
-    return trips.groupBy(*GRAIN).agg(*parts)
+    return trips.groupBy(*keys).agg(*parts)
+
+
+def merge_rollup(rollup: DataFrame) -> DataFrame:
+    """A rollup at a finer grain, added up to the grain of the marts."""
+    parts = [name for column in MEASURED for name in (_sum(column), _count(column))]
+    return rollup.groupBy(*GRAIN).agg(*[F.sum(name).alias(name) for name in (ROWS, *parts)])
 
 
 def _measure(measure: Measure, rolled: bool) -> Column:

@@ -213,25 +213,39 @@ def _land(spark: SparkSession, lake: str, paths: list[str], todo: DataFrame, bas
     raise RuntimeError(f"{ATTEMPTS} other landings went first in {lake}")
 
 
-def read_lake(spark: SparkSession, lake: str) -> DataFrame:
-    """All raw trips of the lake, without the name of the file they came from.
+# Names up to which a read of some files says which, so that the folders of others are never listed or opened.
+MOST_NAMED = 10_000
+
+
+def read_lake(spark: SparkSession, lake: str, only: DataFrame | None = None, keep_place: bool = False) -> DataFrame:
+    """All raw trips of the lake, or those of the files in ``only`` (name, version). ``keep_place`` keeps version and
+    source_file of each.
 
     One scan of the folder with the schema that the manifest knows; no footer is merged and no path listed
     by us. Only where landings disagree on a type beyond integer width is there one scan for each schema.
     """
     named = manifest(spark, lake)
+    if only is not None:
+        named = named.join(only.select("name", VERSION), ["name", VERSION], "left_semi")
     schemas = [row["schema"] for row in named.select("schema").distinct().orderBy("schema").collect()]
     if not schemas:
         raise FileNotFoundError(f"nothing has landed in {lake}")
     parsed = [StructType.fromJson(json.loads(text)) for text in schemas]
     target = common_schema([widened(schema) for schema in parsed])
+    chosen = F.lit(True)
+    if only is not None:
+        places = only.select("name", VERSION).limit(MOST_NAMED + 1).collect()
+        if len(places) <= MOST_NAMED:
+            chosen = F.col(SOURCE_FILE).isin([p["name"] for p in places]) & F.col(VERSION).isin(
+                sorted({p[VERSION] for p in places}))
 
     def scan(schema: StructType, current: DataFrame) -> DataFrame:
         wanted = current.select(VERSION, F.col("name").alias(SOURCE_FILE))
         held = _stored(spark, lake, schema)
         if held is None:  # all files are empty
-            return spark.createDataFrame([], schema)
-        return held.join(wanted, [VERSION, SOURCE_FILE], "left_semi").drop(VERSION, SOURCE_FILE)
+            held = spark.createDataFrame([], StructType([*schema.fields, *_PLACE]))
+        held = held.where(chosen).join(wanted, [VERSION, SOURCE_FILE], "left_semi")
+        return held if keep_place else held.drop(VERSION, SOURCE_FILE)
 
     if target is not None:
         return scan(target, named)

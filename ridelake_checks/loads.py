@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.operators import clean, enrich, marts, star
-from ridelake.plans import explore
+from ridelake.plans import explore, incremental
 from ridelake.session import discard, settings, work_path
 from ridelake.sinks import parquet, warehouse
-from ridelake.sources import files, landing, tables
+from ridelake.sources import files, footers, landing, tables
 from ridelake_checks.trip_view import DATASET, raw_trips, service_type, zone_lookup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,10 +64,7 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per monthly file after a landing, a second one with June 1997 cut to whole miles, and a third.
-
-    All months are landed; the answer shows those of 1996 and 1997, which is what the SQL counts.
-    """
+    """Rows per monthly file after a landing, a second one with June 1997 cut to whole miles, and a third."""
     trips = raw_trips(spark, sf_dir).where("pickup_datetime IS NOT NULL")
     month = F.date_format("pickup_datetime", "yyyy-MM")
     with folder(spark, "landed") as path:
@@ -77,11 +74,27 @@ def landed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             one.repartition("month").write.mode("overwrite").partitionBy("month").parquet(f"{path}/split")
             _as_files(spark, f"{path}/split", f"{path}/in")
             landing.land_raw(spark, f"{path}/in", f"{path}/lake")
-        shown = landing.read_lake(spark, f"{path}/lake").where("year(pickup_datetime) IN (1996, 1997)")
-        return held(shown.groupBy(
+        return held(landing.read_lake(spark, f"{path}/lake").groupBy(
             F.concat(F.lit(f"{DATASET}_"), month, F.lit(".parquet")).alias("name")).agg(F.count(F.lit(1)).alias("rows")))
 
 
+def refreshed_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indicators per platform after all months were landed and computed, June 1997 was cut to whole miles and landed
+    again, and only the dates it touches were computed again; with the number of these dates."""
+    trips = raw_trips(spark, sf_dir).where("pickup_datetime IS NOT NULL")
+    month = F.date_format("pickup_datetime", "yyyy-MM")
+    with folder(spark, "refreshed") as path:
+        for changed in (False, True):
+            chosen = trips.where((month != "1997-06") | (F.col("trip_miles") % 9 == 0)) if changed else trips
+            one = chosen.withColumn("month", month)
+            one.repartition("month").write.mode("overwrite").partitionBy("month").parquet(f"{path}/split")
+            _as_files(spark, f"{path}/split", f"{path}/in")
+            landing.land_raw(spark, f"{path}/in", f"{path}/lake")
+            done = incremental.refresh(spark, f"{path}/lake", f"{path}/out")
+        mart = spark.read.parquet(f"{path}/out/kpi_par_plateforme")
+        return held(mart.withColumn("touched_dates", F.lit(len(done.dates)).cast("long")))
+
+
 def _as_files(spark: SparkSession, split: str, into: str) -> None:
     """The one file of each month folder under a monthly name."""
     jvm = spark.sparkContext._jvm
@@ -98,12 +111,12 @@ def _as_files(spark: SparkSession, split: str, into: str) -> None:
 
 
 def raw_unified_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two files of trips: zones as INT and as BIGINT, and a fee that the later one lacks."""
+    """Two sets of files of trips: zones as INT and as BIGINT, and a fee that the later ones lack."""
     trips = raw_trips(spark, sf_dir)
     with folder(spark, "drift") as path:
         (trips.where("l_linenumber <= 3").withColumn("PULocationID", F.col("PULocationID").cast("int"))
-         .withColumn("DOLocationID", F.col("DOLocationID").cast("int")).coalesce(1).write.parquet(f"{path}/a"))
-        trips.where("l_linenumber > 3").drop("airport_fee").coalesce(1).write.parquet(f"{path}/b")
+         .withColumn("DOLocationID", F.col("DOLocationID").cast("int")).write.parquet(f"{path}/a"))
+        trips.where("l_linenumber > 3").drop("airport_fee").write.parquet(f"{path}/b")
         whole = files.read_unified(spark, f"{path}/*/*.parquet")
         return held(whole.groupBy("PULocationID").agg(
             F.count(F.lit(1)).alias("trips"), F.count("airport_fee").alias("fees"),
@@ -198,13 +211,22 @@ def sample_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which of three tables' files are there, by name; their sizes are not part of a query's answer."""
-    found = files.list_files(spark, sf_dir, "{lineitem,orders,nothing}.parquet")
-    return found.select(files.file_name(F.col("path")).alias("name"), (F.col("length") > 0).alias("has_bytes"))
+    """The monthly files that the trips make, by name, and how many rows their footers tell. Sizes in bytes depend on the
+    writer and are only said to be there."""
+    month = F.date_format("pickup_datetime", "yyyy-MM").alias("month")
+    with folder(spark, "listing") as path:
+        trips = raw_trips(spark, sf_dir).where("pickup_datetime IS NOT NULL").select("trip_miles", month)
+        trips.repartition("month").write.partitionBy("month").parquet(f"{path}/split")
+        _as_files(spark, f"{path}/split", f"{path}/in")
+        listed = files.list_files(spark, f"{path}/in", f"{DATASET}_*.parquet").select("path", "length")
+        paths = sorted(row["path"] for row in listed.select("path").collect())
+        told = footers.footers(spark, paths).select(files.file_name(F.col("path")).alias("name"), "rows")
+        named = listed.select(files.file_name(F.col("path")).alias("name"), (F.col("length") > 0).alias("has_bytes"))
+        return held(named.join(told, "name"))
 
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.profile(spark.read.parquet(f"{sf_dir}/nation.parquet"))
+    return files.profile(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
 
 
 def empty_signal(spark: SparkSession, sf_dir: str) -> DataFrame:

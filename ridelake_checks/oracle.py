@@ -417,7 +417,11 @@ ORACLE |= {
     "landed_rows": _with(TRIPS, """
 SELECT 'fhvhv_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.parquet' AS name,
        count(*) AS "rows"
-FROM raw WHERE year(pickup_datetime) IN (1996, 1997) GROUP BY 1"""),
+FROM raw WHERE pickup_datetime IS NOT NULL GROUP BY 1"""),
+    "refreshed_mart": _with(ENRICHED, f"""
+SELECT plateforme, {KPI}, (SELECT count(DISTINCT CAST(pickup_datetime AS DATE)) FROM raw
+  WHERE strftime(pickup_datetime, '%Y-%m') = '1997-06') AS touched_dates
+FROM enriched WHERE strftime(pickup_datetime, '%Y-%m') <> '1997-06' OR trip_miles % 9 = 0 GROUP BY plateforme"""),
     "raw_unified_drift": _with(TRIPS, """
 SELECT "PULocationID", count(*) AS trips, count(CASE WHEN l_linenumber <= 3 THEN airport_fee END) AS fees,
        sum("DOLocationID")::BIGINT AS dropoffs
@@ -431,11 +435,15 @@ UNION ALL SELECT 'dim_zones', count(*) FROM nation""",
     "sample_written": """
 SELECT 'lineitem.parquet' AS source_file, least(10, count(*)) AS "rows" FROM lineitem
 UNION ALL SELECT 'orders.parquet', least(10, count(*)) FROM orders""",
-    "listing": "SELECT name, true AS has_bytes FROM (VALUES ('lineitem.parquet'), ('orders.parquet')) AS v(name)",
+    "listing": _with(TRIPS, """
+SELECT 'fhvhv_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.parquet' AS name, true AS has_bytes,
+       count(*) AS "rows"
+FROM raw WHERE pickup_datetime IS NOT NULL GROUP BY 1"""),
     "profile": """
 SELECT column_name AS "column", CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
-       WHEN 'VARCHAR' THEN 'string' ELSE lower(data_type) END AS "type", (SELECT count(*) FROM nation) AS "rows"
-FROM duckdb_columns() WHERE table_name = 'nation'""",
+       WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS "type",
+       (SELECT count(*) FROM lineitem) AS "rows"
+FROM duckdb_columns() WHERE table_name = 'lineitem'""",
     "empty_signal": _with(ENRICHED, "\nUNION ALL ".join(
         f"SELECT '{name}' AS plateforme, count(*) = 0 AS empty FROM enriched WHERE plateforme = '{name}'"
         for name in ("Uber", "Nobody"))),

@@ -217,6 +217,7 @@ QUERIES: dict[str, Query] = {
     "explore_domains": _on_facts_and_zones(explore.explore_domains),
     # what writes, and what reads what was written
     "landed_rows": loads.landed_rows,
+    "refreshed_mart": loads.refreshed_mart,
     "raw_unified_drift": loads.raw_unified_drift,
     "zones_from_csv": loads.zones_from_csv,
     "csv_roundtrip": loads.csv_roundtrip,
