@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ridelake.llm.components import components
-from ridelake.llm.shared import python_tasks, stored
+from ridelake.llm.shared import free_names, python_tasks, stored
 from ridelake.llm.shingles import WordNumbers, groups, mixed, shingles, stars, tokens
 
 SHINGLE_WORDS = 5
@@ -266,12 +266,13 @@ def one_of_each_class(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that represent their class: the smallest id, the smallest digest of the words where an
     id has several texts of the class, and one row of those that repeat. Rows meet by id and digest.
     """
+    number, node = free_names(docs.columns, "_id", "_node")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_node")).alias("first")
     kept = join(docs, **options).groupBy("class_node").agg(first).select(
-        F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias("_id"),
-        F.unhex("first.text_node").alias("_node"))
-    named = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_node": node_of("text")})
-    return named.join(kept, ["_id", "_node"], "left_semi").dropDuplicates(["_id", "_node"]).drop("_id", "_node")
+        F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias(number),
+        F.unhex("first.text_node").alias(node))
+    named = docs.withColumns({number: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), node: node_of("text")})
+    return named.join(kept, [number, node], "left_semi").dropDuplicates([number, node]).drop(number, node)
 
 
 def node_of(column: str):

@@ -12,12 +12,14 @@ A line is boilerplate if at least ``MIN_SITES`` different sites have it.
 3. *Removal.* The lines to remove are joined to the lines of the documents by hash; Spark splits lines that are
    too frequent. Only positions travel; each different text is cut once, however many rows have it.
 
-A document with more than ``MAX_SHARE`` of its characters in boilerplate lines is no page with boilerplate
-but a copy of a page that many sites carry. Cutting its lines would destroy all copies at once. It stays
-whole and is left to duplicate detection, which keeps one copy.
+A document of which no line with a letter or digit would be left is no page with boilerplate but a copy of
+boilerplate. Cutting it would leave nothing of all its copies at once; it stays whole and is left to duplicate
+detection, which keeps one copy. All other documents are cut, however little of them is their own.
 
 Rows with null source count as one site of their own. Null and empty texts stay as they are. The order and
-the breaks of the other lines do not change.
+the breaks of the other lines do not change. Rows that repeat are documents of their own and are cut alike; a line counts
+once for each site, so copies within a site add nothing. An empty table gives an empty result. Columns of the table
+that are named like the three counts are replaced by these, which may be given other names; all others are carried.
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ from ridelake.llm.shared import stored, whole
 MIN_SITES = 10
 MARGIN = 0.10
 LG_K = 12
-MAX_SHARE = 0.5
+COUNTS = ("n_lines", "n_boilerplate", "n_removed")
+SAYS_SOMETHING = r"[\p{L}\p{N}]"
 
 
 def _line_hash(line: Column) -> Column:
@@ -51,7 +54,7 @@ def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     seen = docs.select(
         F.coalesce(F.concat(F.lit("="), F.col(site).cast("string")), F.lit("")).alias("site"),
         F.explode(_lines(F.col("text"))).alias("line")).select("site", _trimmed(F.col("line")).alias("line"))
-    seen = seen.where(F.col("line").rlike(r"[\p{L}\p{N}]")).select("site", _line_hash(F.col("line")).alias("line"))
+    seen = seen.where(F.col("line").rlike(SAYS_SOMETHING)).select("site", _line_hash(F.col("line")).alias("line"))
     spread = stored(seen.groupBy("line").agg(F.hll_sketch_agg("site", LG_K).alias("sketch")).select(
         "line", F.hll_sketch_estimate("sketch").alias("estimate")).where(
             F.col("estimate") >= min_sites * (1 - margin)), "spread")
@@ -62,11 +65,11 @@ def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
         "line", F.col("estimate").alias("sites")).union(exact)
 
 
-def remove_lines(docs: DataFrame, found: DataFrame, max_share: float = MAX_SHARE) -> DataFrame:
-    """The rows of ``docs`` with new text; also n_lines, n_boilerplate and n_removed."""
-    columns = [c for c in docs.columns if c != "text"]
+def remove_lines(docs: DataFrame, found: DataFrame, counts: tuple[str, str, str] = COUNTS) -> DataFrame:
+    """The rows of ``docs`` with new text; also the numbers of lines, of boilerplate lines and of lines removed."""
+    columns = [c for c in docs.columns if c != "text" and c not in counts]
     text = F.col("text")
-    keyed = docs.select(*[F.col(c).alias(f"c_{i}") for i, c in enumerate(columns)], "text").withColumn(
+    keyed = docs.select(*[F.col(f"`{c}`").alias(f"c_{i}") for i, c in enumerate(columns)], "text").withColumn(
         "text_key", F.unhex(F.md5(text)))
     lines = keyed.where("text IS NOT NULL").select("text_key", F.posexplode(_lines(text)).alias("at", "line")).select(
         "text_key", "at", _line_hash(_trimmed(F.col("line"))).alias("line"))
@@ -76,23 +79,20 @@ def remove_lines(docs: DataFrame, found: DataFrame, max_share: float = MAX_SHARE
     split = _lines(text)
     # One struct for each row, so that the text is split once and each position looked up in it.
     once = F.array(F.struct(split.alias("lines"), F.col("hits").alias("hits")))
-    chars = F.transform(once, lambda r: F.aggregate(
-        r["hits"], F.lit(0).cast("long"), lambda s, at: s + F.length(F.get(r["lines"], at))))[0]
-    total = F.length(F.regexp_replace(text, "\n", "")).cast("long")
-    cut = F.col("hits").isNotNull() & (chars <= total * F.lit(max_share))
     rest = F.transform(once, lambda r: F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(r["lines"]) - 1), r["hits"]), lambda at: F.get(r["lines"], at)))[0]
-    kept = F.array_join(rest, "\n")
     found_lines = F.coalesce(F.size("hits"), F.lit(0)).cast("long")
-    fresh = marked.withColumn("cut", F.coalesce(cut, F.lit(False)))
+    fresh = marked.withColumn("rest", F.when(F.col("hits").isNotNull(), F.array_join(rest, "\n")))
+    # What is left after the cut says whether anything of the document's own is left.
+    cut = F.coalesce(F.col("rest").rlike(SAYS_SOMETHING), F.lit(False))
     return fresh.select(
         *[F.col(f"c_{i}").alias(c) for i, c in enumerate(columns)],
-        F.when(F.col("cut"), kept).otherwise(text).alias("text"),
-        F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"),
-        found_lines.alias("n_boilerplate"),
-        F.when(F.col("cut"), found_lines).otherwise(F.lit(0)).cast("long").alias("n_removed"))
+        F.when(cut, F.col("rest")).otherwise(text).alias("text"),
+        F.coalesce(F.size(split), F.lit(0)).cast("long").alias(counts[0]),
+        found_lines.alias(counts[1]),
+        F.when(cut, found_lines).otherwise(F.lit(0)).cast("long").alias(counts[2]))
 
 
 def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, margin: float = MARGIN,
-                max_share: float = MAX_SHARE) -> DataFrame:
-    return remove_lines(docs, stored(boilerplate(docs, site, min_sites, margin), "boilerplate"), max_share)
+                counts: tuple[str, str, str] = COUNTS) -> DataFrame:
+    return remove_lines(docs, stored(boilerplate(docs, site, min_sites, margin), "boilerplate"), counts)

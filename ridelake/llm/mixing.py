@@ -20,13 +20,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridelake.llm.shared import in_ranges, running_sum, stored, whole, words_in
+from ridelake.llm.shared import free_names, in_ranges, running_sum, stored, whole, words_in
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_PASSES = 2
 SLOPES = (0.5, 0.0, -0.5)
 SEED = "mix-1"
+# Names that ``mix`` gives on the way.
+_INNER = ("size", "source_size", "target", "taken", "position", "second_position", "slope", "_queue", "_part", "_start", "_name")
 
 
 def _cycled(rank, values) -> F.Column:
@@ -91,14 +93,15 @@ def mix(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), seed: str = SEED,
 def curriculum(docs: DataFrame, **targets) -> DataFrame:
     """The rows of ``docs`` in training order, once for each pass that takes words of them, with
     train_position, train_pass (1 or 2). Rows equal in all columns are one document to train on, at all
-    positions they get."""
-    columns = docs.columns
-    keyed = docs.withColumns({
-        "_h1": F.xxhash64(*columns), "_h2": F.hash(F.lit("row"), *columns)})
-    places = mix(keyed, keys=("doc_id", "_h1", "_h2"), **targets).select(
-        "_h1", "_h2", F.explode(F.array(
+    positions they get. Columns of the table that have these two names are replaced; all others are carried."""
+    docs = docs.drop("train_position", "train_pass")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    one, two, at = free_names([*docs.columns, *_INNER], "_h1", "_h2", "_at")
+    keyed = docs.withColumns({one: F.xxhash64(*columns), two: F.hash(F.lit("row"), *columns)})
+    places = mix(keyed, keys=("doc_id", one, two), **targets).select(
+        one, two, F.explode(F.array(
             F.struct(F.lit(1).alias("train_pass"), F.col("position").alias("train_position")),
             F.struct(F.lit(2).alias("train_pass"), F.col("second_position").alias("train_position"))
-        )).alias("_at")).where("_at.train_position IS NOT NULL").select("_h1", "_h2", "_at.*")
-    return keyed.dropDuplicates().join(places, ["_h1", "_h2"]).select(
+        )).alias(at)).where(F.col(f"{at}.train_position").isNotNull()).select(one, two, f"{at}.*")
+    return keyed.dropDuplicates().join(places, [one, two]).select(
         *columns, "train_position", "train_pass").orderBy("train_position", "doc_id", "train_pass")

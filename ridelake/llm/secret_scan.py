@@ -11,20 +11,23 @@ candidate is reported if its scope holds a complementary part:
 ==========  ==================================================  ============================================
 weak kind   what it is                                          reported next to
 ==========  ==================================================  ============================================
-key         32 to 88 characters of base64 alphabet with a        an access identifier or account, weak or
-            digit, a capital and a small letter                  not; an assigned secret does not need it
+key         32 characters or more of base64 alphabet with a      an access identifier or account, weak or
+            digit, a capital and a small letter, not in the      not; an assigned secret does not need it
+            path of a URL
 account     value assigned to user, login, client id and such    an assigned secret, a long hex run or a key
 endpoint    URL or assigned host                                 an access identifier or account *and* a
                                                                  secret of any kind (all three parts)
 ==========  ==================================================  ============================================
 
-The join is by text, bucket of ``REACH`` code points and role. A part is in every bucket from that of its start
-to that of its end, so parts in one bucket are near enough, and of two parts that share none, near ones are in
-neighbouring buckets. Before the join, each bucket keeps only the least start and the greatest end of a role,
-which decide it: a part in the bucket before is near enough if the greatest end is, one in the bucket after if
-the least start is. So nothing multiplies, however dense the parts are, and a long part has one row for each
-``REACH`` of its code points. Texts that are equal are linked once. Only texts with a weak candidate and a
+A complement never overlaps the part that asks: the same characters are not two parts of a credential. So it ends where
+the part starts or before, or starts where the part ends or after, at most ``REACH`` code points away. Its end or start is
+then in the part's own bucket of ``REACH`` code points or the next one, and the interval join is by text, bucket, role and
+side. A bucket's starts (or ends) of a role are one sorted set, of at most ``REACH`` numbers, so nothing multiplies,
+however dense or long the parts are. Texts that are equal are linked once. Only texts with a weak candidate and a
 complement anywhere are exploded.
+
+Null and empty texts have no findings. Rows that repeat, ids included, are reported each. Parts of one kind never overlap;
+of parts of several kinds each is reported. An empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,14 +45,14 @@ BASE = {
 }
 # Kinds that follow the base kinds, with the role each plays. Runs are found whole, then measured.
 WEAK = {
-    "key": (r"[A-Za-z0-9+/]+={0,2}", 0, 32),
+    # URLs up to their query are matched first and have no group, so that nothing in them is a key.
+    "key": (r"""https?://[^\s"'<>?#]+|([A-Za-z0-9+/]{32,}={0,2})""", 1, 32),
     "account": (r"""(?i)\b(user|username|login|account|client_?id|key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]+)""",
                 2, 3),
     "endpoint": (r"""(?i)\b(?:https?://|(?:host|endpoint|server|url)["']?\x20*[:=]\x20*["']?)[A-Za-z0-9.-]+\.[A-Za-z]{2,}""",
                  0, 8),
 }
 KINDS = [*BASE, *WEAK]
-LONGEST_KEY = 88
 ROLE = {"assign": "secret", "hex": "secret", "key": "secret", "access": "identifier", "account": "identifier",
         "endpoint": "endpoint"}
 # Roles of which a weak kind needs all in its scope.
@@ -78,8 +81,7 @@ def spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Colu
             start = done["at"] + x["gap"]
             kept = x["measured"] >= least
             if kind == "key":
-                kept = kept & (x["measured"] <= LONGEST_KEY) & x["match"].rlike("[0-9]") & (
-                    x["match"].rlike("[A-Z]")) & x["match"].rlike("[a-z]")
+                kept = kept & x["match"].rlike("[0-9]") & x["match"].rlike("[A-Z]") & x["match"].rlike("[a-z]")
             span = F.struct(start.cast("int").alias("start"), F.lit(rank).alias("rank"),
                             F.lit(kind).alias("kind"), (start + x["long"]).cast("int").alias("end"))
             return F.struct((start + x["long"]).cast("int").alias("at"), F.when(
@@ -97,8 +99,7 @@ def spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Colu
 def _long_runs(kind: str) -> str:
     """A pattern that finds only runs of the least length. They are maximal either way, so these are the same
     matches; a text has far fewer of them. Assignments have inner structure and keep their pattern."""
-    return {"access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}",
-            "key": r"[A-Za-z0-9+/]{32,}={0,2}"}.get(kind, {**BASE, **WEAK}[kind][0])
+    return {"access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}"}.get(kind, {**BASE, **WEAK}[kind][0])
 
 
 def parts(docs: DataFrame) -> DataFrame:
@@ -118,23 +119,27 @@ def link(found: DataFrame, reach: int = REACH) -> DataFrame:
         F.first("base").alias("base"), F.first("weak").alias("weak"))
     marks = stored(texts.select("digest", F.explode(F.concat("base", "weak")).alias("part")).select(
         "digest", "part", role[F.col("part.kind")].alias("role")), "parts")
-    # To the bucket of the exclusive end: a gap of exactly ``reach`` then never skips a bucket.
-    touched = F.explode(F.sequence(
-        F.floor(F.col("part.start") / reach), F.floor(F.col("part.end") / reach))).alias("bucket")
-    ends = marks.select("digest", "part", "role", touched).groupBy("digest", "bucket", "role").agg(
-        F.min("part.start").alias("first_start"), F.max("part.end").alias("last_end"))
-    near = ends.select("digest", "role", "first_start", "last_end", F.explode(F.array(
-        *[F.struct((F.col("bucket") + d).alias("bucket"), F.lit(d).alias("side")) for d in (-1, 0, 1)])).alias("at")
-        ).select("digest", F.col("role").alias("needed"), "first_start", "last_end", "at.*")
+    def bucket(position: Column) -> Column:
+        return F.floor(position / reach)
+
+    # Side "after": where complements start; "before": where they end.
+    sides = F.explode(F.array(*[F.struct(F.lit(side).alias("side"), F.col(f"part.{at}").alias("at"))
+                                for side, at in (("after", "start"), ("before", "end"))])).alias("edge")
+    edges = marks.select("digest", F.col("role").alias("needed"), sides).select(
+        "digest", "needed", "edge.side", "edge.at", bucket(F.col("edge.at")).alias("bucket")).groupBy(
+            "digest", "bucket", "needed", "side").agg(F.collect_set("at").alias("places"))
     needs = F.create_map(*[x for kind, roles in NEEDS.items() for x in (
         F.lit(kind), F.array(*[F.lit(r) for r in roles]))])
-    asks = marks.where(F.col("part.kind").isin(*WEAK)).select("digest", "part", touched).select(
-        "digest", "bucket", "part", F.explode(needs[F.col("part.kind")]).alias("needed"))
-    # side -1: the complement's bucket follows ours; 1: it comes before. Within a long part both are ours.
-    close = (F.col("side") == 0) | (
-        (F.col("side") == -1) & (F.col("first_start") - F.col("part.end") <= reach)) | (
-        (F.col("side") == 1) & (F.col("part.start") - F.col("last_end") <= reach))
-    met = asks.join(near, ["digest", "bucket", "needed"]).where(close).groupBy("digest", "part").agg(
+    looks = F.explode(F.array(*[
+        F.struct(F.lit(side).alias("side"), (bucket(F.col(f"part.{at}")) + step).alias("bucket"))
+        for side, at, steps in (("after", "end", (0, 1)), ("before", "start", (0, -1))) for step in steps])).alias("look")
+    asks = marks.where(F.col("part.kind").isin(*WEAK)).select(
+        "digest", "part", F.explode(needs[F.col("part.kind")]).alias("needed")).select(
+        "digest", "part", "needed", looks).select("digest", "part", "needed", "look.*")
+    close = F.when(F.col("side") == "after", F.exists("places", lambda at: (
+        at >= F.col("part.end")) & (at - F.col("part.end") <= reach))).otherwise(F.exists("places", lambda at: (
+            at <= F.col("part.start")) & (F.col("part.start") - at <= reach)))
+    met = asks.join(edges, ["digest", "bucket", "needed", "side"]).where(close).groupBy("digest", "part").agg(
         F.count_distinct("needed").alias("n")).where(
             F.col("n") == F.size(needs[F.col("part.kind")]))
     return met.groupBy("digest").agg(F.collect_list("part").alias("linked"))

@@ -47,6 +47,17 @@ def words_in(text: Column) -> Column:
     return F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).cast("long")
 
 
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """Column names like these that ``taken`` does not have; upper and lower case are the same."""
+    used, out = {name.lower() for name in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def work(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder that the session names in ``spark.checkpoint.dir``. Only a
     local session that names none, such as a test's, gets a folder of its own."""

@@ -17,7 +17,7 @@ boilerplate AS (
   GROUP BY trimmed HAVING count(DISTINCT site) >= 10),
 shares AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (hit) AS n_boilerplate,
-         coalesce(sum(length(line)) FILTER (hit), 0) <= sum(length(line)) * 0.5 AS cut,
+         bool_or(NOT hit AND regexp_matches(line, '[\p{{L}}\p{{N}}]')) AS cut,
          string_agg(line, chr(10) ORDER BY place) FILTER (NOT hit) AS kept
   FROM (SELECT *, trimmed IN (SELECT trimmed FROM boilerplate) AS hit FROM lines) GROUP BY doc_id)
 SELECT doc_id, CASE WHEN cut AND n_boilerplate > 0 THEN coalesce(kept, '') ELSE text END AS text,

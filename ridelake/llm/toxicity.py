@@ -6,19 +6,27 @@ examples: ``p E⁺[l(g)] + (Eᵘ[l(-g)] - p E⁺[l(-g)])``. The bracket estimate
 truly be below zero; when a batch makes it so, the step goes the other way instead of fitting the positives by heart.
 
 *Evidence.* A text shows its words and their stems (the first 3 to 9 letters, so that inflected forms count). How
-many toxic and how many unlabelled training documents show a stem is counted in Spark; by the prior this gives
-the chance that a document with the stem is toxic, of which the lower confidence bound is the stem's evidence.
-Stems with too little of it are dropped.
+many toxic and how many unlabelled training documents show a stem is counted; by the prior this gives the chance that a
+document with the stem is toxic, of which the lower confidence bound is the stem's evidence. Stems are used from
+``LEAST_EVIDENCE`` on; they must be in ``LEAST_DOCUMENTS`` positives and in a share ``LEAST_SHARE`` of them, which bounds their
+number at any size of the corpus. There is no other limit.
+
+*Counting.* All positives are counted first. A stem that enough of them have is a candidate unless its evidence is out of
+reach: positives and marked negatives are among the unlabelled documents, and the bound falls with their number, so a
+stem of so few evidence on these alone cannot have more. For that, negatives may be a hashed sample (``MAX_NEGATIVE``
+documents, all labelled): leaving some out keeps candidates, it drops none. Then every training document is read once
+and leaves the numbers of the candidates it shows; counts, the fit and its folds work on these numbers.
 
 *Classifier.* Linear over a few numbers of a text: how many of its stems have how much evidence, and the largest.
-Its training documents were counted as well, so each gets the evidence counted in the other ``FOLDS - 1`` folds.
+Its training documents were counted as well, so each gets the evidence counted in the other ``FOLDS - 1`` folds. The risk
+is taken over all training documents: those with similar counts are added up to one cell (mean and number), of which
+there are at most ``CELLS``, so what the driver fits on does not grow with the corpus.
 
 Positives are documents marked toxic outside the held-out fifth; unlabelled are all documents outside it, marked or
-not. Stems are counted in all of them. The classifier's few weights are fitted on hashed shares, about
-``MAX_POSITIVE`` and ``MAX_UNLABELLED`` documents, whose numbers go to the driver. So do the stems with the most
-evidence, at most ``VOCABULARY``: every task keeps these in memory. The prior is the share of toxic marks among all marks of
-the training fold unless it is given. Scoring covers every whole text. Null counts as empty. Without positives
-all scores are 0.
+not. The prior is the share of toxic marks among all marks of the training fold unless it is given. Scoring covers every
+whole text. Null and empty texts show nothing. Rows that share an id share its mark, each a document of its own; an
+id marked several times is toxic if any mark says so. Null ids are never positive. Without positives, or with empty
+tables, all scores are 0. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,13 +46,14 @@ from ridelake.llm.quality import in_share
 from ridelake.llm.shared import python_tasks, stored
 from ridelake.llm.shingles import tokens
 
-MAX_POSITIVE, MAX_UNLABELLED = 10_000, 20_000
+MAX_NEGATIVE = 20_000
 STEMS = range(3, 10)
-VOCABULARY, LEAST_DOCUMENTS, LEAST_EVIDENCE = 10_000, 3, 0.25
+LEAST_DOCUMENTS, LEAST_SHARE, LEAST_EVIDENCE = 3, 1e-5, 0.25
 FOLDS = 5
-# Rows of ids or stems up to which they are sent to all tasks; beyond, Spark joins as it sees fit.
-MAX_BROADCAST = 1_000_000
 LEVELS = np.array([0.25, 0.35, 0.45, 0.55, 0.65, 0.75])
+# Classes of a count (0, 1, 2 to 3, more) for each level, and of the number of words (by powers of two).
+COUNT_CLASSES, WORD_CLASSES = 4, 24
+CELLS = COUNT_CLASSES ** len(LEVELS) * WORD_CLASSES
 STEPS, RATE, DECAY = 800, 0.05, 3e-3
 
 
@@ -56,17 +65,20 @@ class Stems(dict):
     def __init__(self, known=None):
         super().__init__()
         self.known = known
+        # Words that begin like no known stem are passed over at once.
+        self.roots = None if known is None else {stem[1:4] if stem[0] == "=" else stem[:3] for stem in known}
 
-    def __missing__(self, word: str) -> tuple[str, ...]:
+    def __missing__(self, word: str) -> tuple:
         if len(self) >= self.LIMIT:
             self.clear()
-        found = {f"={word}", *(word[:k] for k in STEMS if k <= len(word))}
-        kept = self[word] = tuple(found if self.known is None else found & self.known)
+        found = [f"={word}", *(word[:k] for k in STEMS if k <= len(word))]
+        kept = self[word] = tuple(found if self.known is None else [self.known[x] for x in found if x in self.known])
         return kept
 
-    def of(self, words) -> set[str]:
-        found: set[str] = set()
-        for word in words:
+    def of(self, words) -> set:
+        found: set = set()
+        roots = self.roots
+        for word in words if roots is None else [w for w in words if w[:3] in roots]:
             found.update(self[word])
         return found
 
@@ -76,7 +88,11 @@ def evidence(p, u, n_positive, n_unlabelled, prior: float):
     p, u = np.asarray(p, float), np.asarray(u, float)
     chance = prior * (p / n_positive) / np.maximum(u / n_unlabelled, 1e-12)
     bound = chance * np.exp(-1.64 * np.sqrt(1 / np.maximum(p, 1) + 1 / np.maximum(u, 1)))
-    return np.where(p >= LEAST_DOCUMENTS, np.minimum(bound, 1.0), 0.0)
+    return np.where(p >= least_documents(n_positive), np.minimum(bound, 1.0), 0.0)
+
+
+def least_documents(n_positive: float) -> float:
+    return max(LEAST_DOCUMENTS, LEAST_SHARE * n_positive)
 
 
 def measures(found: np.ndarray, words: int) -> np.ndarray:
@@ -88,6 +104,14 @@ def measures(found: np.ndarray, words: int) -> np.ndarray:
 N_MEASURES = 3 * len(LEVELS) + 1
 
 
+def cell(found: np.ndarray, words: int) -> int:
+    counts = np.bincount(np.searchsorted(LEVELS, found, "right"), minlength=len(LEVELS) + 1)[1:]
+    number = min(int(words).bit_length(), WORD_CLASSES - 1)
+    for n in np.searchsorted([1, 2, 4], counts, "right").tolist():
+        number = number * COUNT_CLASSES + n
+    return number
+
+
 @dataclass
 class Model:
     known: dict[str, float]
@@ -97,14 +121,17 @@ class Model:
     bias: float
 
     def score(self, texts) -> list[float]:
-        stems, rows = Stems(self.known.keys()), []
+        stems, rows = Stems({stem: i for i, stem in enumerate(self.known)}), []
+        worth = np.array(list(self.known.values()), float)
         for text in texts:
             words = set(tokens(text))
-            rows.append(measures(np.array([self.known[x] for x in stems.of(words)], float), len(words)))
+            found = stems.of(words)
+            rows.append(measures(worth[np.fromiter(found, np.int64, len(found))], len(words)) if found else NO_MEASURES)
         x = (np.array(rows).reshape(-1, N_MEASURES) - self.centre) / self.scale
         return (1 / (1 + np.exp(-np.clip(x @ self.weights + self.bias, -500, 500)))).tolist()
 
 
+NO_MEASURES = np.zeros(N_MEASURES)
 NOTHING_KNOWN = Model({}, np.zeros(N_MEASURES), np.ones(N_MEASURES), np.zeros(N_MEASURES), -1e3)
 
 
@@ -113,48 +140,73 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        words = [sorted(set(tokens(text))) for text in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("side"), batch.column("fold"), pa.array(words, pa.list_(pa.string()))],
-            ["side", "fold", "words"])
-
-
 def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Document frequencies by fold and side within a task, handed on whenever they have become many."""
+    """Document frequencies of all stems by fold within a task, handed on whenever they have become many."""
     def handed_on(counts):
         return pa.RecordBatch.from_arrays(
             [pa.array([x for c in counts for x in c], pa.string()),
-             pa.array([slot for slot, c in enumerate(counts) for _ in c], pa.int32()),
-             pa.array([n for c in counts for n in c.values()], pa.int64())], ["stem", "slot", "n"])
+             pa.array([fold for fold, c in enumerate(counts) for _ in c], pa.int32()),
+             pa.array([n for c in counts for n in c.values()], pa.int64())], ["stem", "fold", "n"])
 
-    stems, counts = Stems(), [Counter() for _ in range(2 * FOLDS)]
+    stems, counts = Stems(), [Counter() for _ in range(FOLDS)]
     for batch in batches:
-        for side, fold, words in zip(*[batch.column(c).to_pylist() for c in ("side", "fold", "words")]):
-            counts[2 * fold + side].update(stems.of(words))
+        for text, fold in zip(batch.column("text").to_pylist(), batch.column("fold").to_pylist()):
+            counts[fold].update(stems.of(set(tokens(text))))
             if sum(map(len, counts)) > 400_000:
                 yield handed_on(counts)
-                counts = [Counter() for _ in range(2 * FOLDS)]
+                counts = [Counter() for _ in range(FOLDS)]
     yield handed_on(counts)
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
+def _shown(sent):
+    """The numbers of the candidates that each document shows, and its number of different words."""
+    def shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stems = Stems(sent.value)
+        for batch in batches:
+            words, ids = [], []
+            for text in batch.column("text").to_pylist():
+                said = set(tokens(text))
+                words.append(len(said))
+                ids.append(sorted(stems.of(said)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("fold"), pa.array(words, pa.int32()), pa.array(ids, pa.list_(pa.int32()))],
+                ["doc_id", "fold", "words", "ids"])
+    return shown
+
+
+def _in_cells(others: np.ndarray):
+    """Sums of the measures of the documents of each side and cell within a task."""
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for side, fold, words, ids in zip(*[batch.column(c).to_pylist() for c in ("side", "fold", "words", "ids")]):
+                found = others[fold][ids]
+                key, x = (side, cell(found, words)), np.append(measures(found, words), 1.0)
+                sums[key] = sums[key] + x if key in sums else x
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[i] for k in sums], pa.int32()) for i in (0, 1)]
+            + [pa.array(list(sums.values()), pa.list_(pa.float64()))], ["side", "cell", "x"])
+    return added
+
+
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, n_positive: np.ndarray,
+        n_unlabelled: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights and bias by Adam over the corrected risk with the logistic loss, whose slope does not vanish
-    for positives that are still far on the wrong side."""
+    for positives that are still far on the wrong side. Rows count as often as ``n_`` says."""
     positive, unlabelled = (np.c_[x, np.ones(len(x))] for x in (positive, unlabelled))
     size = positive.shape[1] - 1
     w, first, second = (np.zeros(size + 1) for _ in range(3))  # the last entry is the bias
+    shares = [n / n.sum() for n in (n_positive, n_unlabelled)]
 
-    def mean_slope(x: np.ndarray, sign: int) -> tuple[float, np.ndarray]:
+    def mean_slope(x: np.ndarray, share: np.ndarray, sign: int) -> tuple[float, np.ndarray]:
         """Mean loss log(1 + exp(-sign g)), and its gradient."""
         margin = sign * (x @ w)
-        return float(np.logaddexp(0, -margin).mean()), -sign * ((1 / (1 + np.exp(np.clip(margin, -60, 60)))) @ x) / len(x)
+        return float(share @ np.logaddexp(0, -margin)), -sign * ((share / (1 + np.exp(np.clip(margin, -60, 60)))) @ x)
 
     for step in range(1, STEPS + 1):
-        _, as_positive = mean_slope(positive, 1)
-        p_negative, p_slope = mean_slope(positive, -1)
-        u_negative, u_slope = mean_slope(unlabelled, -1)
+        _, as_positive = mean_slope(positive, shares[0], 1)
+        p_negative, p_slope = mean_slope(positive, shares[0], -1)
+        u_negative, u_slope = mean_slope(unlabelled, shares[1], -1)
         if u_negative - prior * p_negative >= 0:
             slope = prior * as_positive + u_slope - prior * p_slope
         else:
@@ -166,79 +218,80 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np.
     return w[:size], float(w[size])
 
 
-def _sent(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= MAX_BROADCAST else df
+def candidates(docs: DataFrame, usable: DataFrame, prior: float, n_positive: int, n_unlabelled: int) -> list[str]:
+    """The stems whose evidence may suffice, in order. ``usable`` has ids and marks (``toxic``) to learn from."""
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold")
+
+    def stems_of(marked: DataFrame, name: str) -> DataFrame:
+        return docs.select("doc_id", "text", fold).join(marked, "doc_id").select("text", "fold").mapInArrow(
+            _stem_counts, "stem string, fold int, n long").groupBy("stem").agg(F.sum("n").alias(name))
+
+    positive = stored(stems_of(usable.where("toxic = 1").select("doc_id"), "p").where(
+        F.col("p") >= least_documents(n_positive)), "toxicity-positive")
+    negatives = usable.where("toxic = 0")
+    share = min(1.0, MAX_NEGATIVE / max(negatives.count(), 1))
+    negative = stems_of(negatives.where(in_share(share, "negative")).select("doc_id"), "n")
+    p, u = F.col("p").cast("double"), (F.col("p") + F.coalesce("n", F.lit(0))).cast("double")
+    # The same bound as in ``evidence``, for the fewest unlabelled documents there can be.
+    bound = F.lit(prior * n_unlabelled / n_positive) * p / u * F.exp(F.lit(-1.64) * F.sqrt(1 / p + 1 / u))
+    reach = positive.join(negative, "stem", "left").where(bound >= LEAST_EVIDENCE * (1 - 1e-9))
+    return sorted(row["stem"] for row in reach.select("stem").collect())
 
 
 def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Model:
-    python_tasks(docs.sparkSession)
+    spark = docs.sparkSession
+    python_tasks(spark)
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out())
     marks, toxic = usable.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not toxic:
         return NOTHING_KNOWN
     prior = toxic / marks if prior is None else prior
+    usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    docs = docs.select("doc_id", "text").where(~held_out())
+    marked = usable.where("toxic = 1").select("doc_id", F.lit(1).alias("side"))
+    n_u, n_p = docs.count(), docs.select("doc_id").join(marked, "doc_id").count()
+    if not n_p:
+        return NOTHING_KNOWN
+    stems = candidates(docs, usable, prior, n_p, n_u)
+    if not stems:
+        return NOTHING_KNOWN
+
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold")
-    positive = docs.join(_sent(usable.where("toxic = 1").select("doc_id"), toxic), "doc_id").select(
-        "doc_id", "text", fold, F.lit(1).alias("side"))
-    unlabelled = docs.where(~held_out()).select("doc_id", "text", fold, F.lit(0).alias("side"))
-    every = positive.union(unlabelled)
-    n = np.zeros((FOLDS, 2))
-    for row in every.groupBy("fold", "side").count().collect():
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    sent = spark.sparkContext.broadcast({stem: i for i, stem in enumerate(stems)})
+    numbers = stored(docs.select("doc_id", fold, "text").mapInArrow(
+        _shown(sent), f"doc_id {kind}, fold int, words int, ids array<int>"), "toxicity-numbers")
+    rows = numbers.join(marked, "doc_id", "left").select(
+        F.coalesce("side", F.lit(0)).alias("side"), "fold", "words", "ids")
+    n, counts = np.zeros((FOLDS, 2)), np.zeros((len(stems), FOLDS, 2))
+    for row in rows.groupBy("fold", "side").count().collect():
         n[row["fold"], row["side"]] = row["count"]
-    n_u, n_p = n.sum(axis=0)
-    if not n_p or not n_u:
+    for row in rows.select("side", "fold", F.explode("ids").alias("id")).groupBy("id", "fold", "side").count().toLocalIterator():
+        counts[row["id"], row["fold"], row["side"]] = row["count"]
+    for c in (n, counts):  # positives are unlabelled documents as well
+        c[..., 0] += c[..., 1]
+    total, every = counts.sum(axis=1), n.sum(axis=0)
+    known = evidence(total[:, 1], total[:, 0], every[1], every[0], prior)
+    kept = known >= LEAST_EVIDENCE
+    if not kept.any():
         return NOTHING_KNOWN
-    drawn = positive.where(in_share(min(1.0, MAX_POSITIVE / n_p), "draw")).union(
-        unlabelled.where(in_share(min(1.0, MAX_UNLABELLED / max(docs.count(), 1)), "unlabelled")))
-    words = stored(drawn.select("text", "fold", "side").mapInArrow(
-        _distinct_words, "side int, fold int, words array<string>"), "toxicity-words")
-
-    slots = range(2 * FOLDS)
-
-    def stems_of(rows: DataFrame) -> DataFrame:
-        return rows.select("text", "fold", "side").mapInArrow(
-            lambda batches: _stem_counts(_distinct_words(batches)), "stem string, slot int, n long")
-
-    # Only stems of enough positives can have evidence, so the others of the unlabelled are not shuffled.
-    of_positive = stored(stems_of(positive).groupBy("stem", "slot").agg(F.sum("n").alias("n")), "toxicity-stems")
-    enough = stored(of_positive.groupBy("stem").agg(F.sum("n").alias("n")).where(
-        F.col("n") >= LEAST_DOCUMENTS).select("stem"), "toxicity-enough")
-    of_all = stems_of(unlabelled).join(_sent(enough, enough.count()), "stem", "left_semi")
-    counted = of_positive.unionByName(of_all).groupBy("stem").agg(
-        *[F.coalesce(F.sum(F.when(F.col("slot") == i, F.col("n"))), F.lit(0)).alias(f"n{i}") for i in slots])
-    p, u = (sum((F.col(f"n{i}") for i in slots if i % 2 == side), F.lit(0)) for side in (1, 0))
-    # Stems are ranked by the same bound as in ``evidence``.
-    bound = F.lit(prior * n_u / n_p) * p / F.greatest(u, F.lit(0.5)) * F.exp(
-        F.lit(-1.64) * F.sqrt(1 / p + 1 / F.greatest(u, F.lit(1))))
-    chosen = counted.where(p >= LEAST_DOCUMENTS).withColumn("bound", bound).where(
-        F.col("bound") >= LEAST_EVIDENCE).orderBy(F.col("bound").desc(), "stem").limit(VOCABULARY).collect()
-    if not chosen:
-        return NOTHING_KNOWN
-    number = {row["stem"]: i for i, row in enumerate(chosen)}
-    counts = np.array([[row[f"n{i}"] for i in slots] for row in chosen], float).reshape(-1, FOLDS, 2)
-    total = counts.sum(axis=1)
-    known = evidence(total[:, 1], total[:, 0], n_p, n_u, prior)
-    others = [evidence(*(total - counts[:, k])[:, ::-1].T, max(n_p - n[k, 1], 1), max(n_u - n[k, 0], 1), prior)
-              for k in range(FOLDS)]
-
-    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stems = Stems(number.keys())
-        for batch in batches:
-            rows = [measures(others[k][[number[x] for x in stems.of(found)]], len(found)) for k, found in zip(
-                batch.column("fold").to_pylist(), batch.column("words").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("side"), pa.array(rows, pa.list_(pa.float64()))], ["side", "x"])
-
-    rows = words.mapInArrow(measured, "side int, x array<double>").toPandas()
-    sides = []
-    for side in (1, 0):
-        x = np.array(rows["x"][rows["side"] == side].tolist()).reshape(-1, N_MEASURES)
-        if not len(x):
-            raise ValueError("there are documents to learn toxicity from, but none was drawn")
-        sides.append(x[np.lexsort(x.T)])  # the same model whatever order the rows come in
-    centre, scale = sides[1].mean(axis=0), sides[1].std(axis=0) + 1e-3
-    weights, bias = fit(*[(x - centre) / scale for x in sides], prior)
-    return Model({stem: float(known[i]) for stem, i in number.items()}, centre, scale, weights, bias)
+    others = np.array([evidence(
+        *(total - counts[:, k])[:, ::-1].T, max(every[1] - n[k, 1], 1), max(every[0] - n[k, 0], 1), prior)
+        for k in range(FOLDS)]) * kept
+
+    cells = rows.where(F.size("ids") > 0).mapInArrow(_in_cells(others), "side int, cell int, x array<double>")
+    parts = [F.sum(F.col("x")[i]).alias(f"x{i}") for i in range(N_MEASURES + 1)]
+    held = cells.groupBy("side", "cell").agg(*parts).collect()  # at most CELLS for each side
+    sums = {side: [[row[f"x{i}"] for i in range(N_MEASURES + 1)] for row in sorted(held, key=lambda r: r["cell"])
+                   if row["side"] == side] for side in (0, 1)}
+    for row in rows.where(F.size("ids") == 0).groupBy("side").count().collect():
+        sums[row["side"]].append([*NO_MEASURES, row["count"]])
+    sums[0] += sums[1]
+    (x_p, n_p), (x_u, n_u) = [((c := np.array(sums[side]))[:, :-1] / c[:, -1:], c[:, -1]) for side in (1, 0)]
+    centre = n_u @ x_u / n_u.sum()
+    scale = np.sqrt(n_u @ (x_u - centre) ** 2 / n_u.sum()) + 1e-3
+    weights, bias = fit((x_p - centre) / scale, (x_u - centre) / scale, prior, n_p, n_u)
+    return Model({stem: float(known[i]) for i, stem in enumerate(stems) if kept[i]}, centre, scale, weights, bias)
 
 
 def scorer(model: Model):

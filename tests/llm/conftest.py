@@ -14,7 +14,10 @@ def docs(spark):
         whole = [(r[0], r[1], "en", r[2] if len(r) > 2 else "src0", len(r[1] or "")) for r in rows]
         frame = spark.createDataFrame(whole, DOCUMENTS)
         return frame.selectExpr("*", "1 AS key", "2 AS score", "3 AS hits", "4 AS size", "5 AS node", "6 AS line",
-                                "7 AS text_key", "8 AS position", "9 AS bucket") if extra else frame
+                                "7 AS text_key", "8 AS position", "9 AS bucket", "10 AS n_removed", "11 AS n_lines",
+                                "12 AS _id", "13 AS _node", "14 AS _h1", "15 AS _h2", "16 AS _part", "17 AS rank",
+                                "18 AS place", "19 AS segment", "20 AS able", "21 AS part", "22 AS bits", "23 AS digest",
+                                "24 AS body", "25 AS side", "26 AS fold", "27 AS `a.b`") if extra else frame
     return make
 
 

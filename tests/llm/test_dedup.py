@@ -114,6 +114,17 @@ def test_lines_on_many_sites_go_and_copies_of_pages_stay(docs):
     assert out[203].text == "Only nine sites\nbody 3" and out[300].text is None and out[301].text == ""
 
 
+@pytest.mark.parametrize("share", [60, 80, 95])
+def test_mostly_boilerplate_is_cut_where_own_text_is_left(docs, share):
+    """However little of a document is its own, the rest goes; only what would be left without a word stays whole."""
+    shared = "A passage that very many sites have in common, word for word.\nAnother one of these passages here."
+    own = "x" * max(1, len(shared) * (100 - share) // share)
+    rows = [(i, f"{shared}\n{own}{i}", f"s{i}") for i in range(10)] + [(90 + i, f"{shared}\n --- \n", f"s{i}") for i in range(3)]
+    out = {r.doc_id: r for r in line_dedup.dedup_lines(docs(*rows)).collect()}
+    assert out[3].text == f"{own}{3}" and out[3].n_removed == 2
+    assert out[91].text == f"{shared}\n --- \n" and (out[91].n_boilerplate, out[91].n_removed) == (2, 0)
+
+
 def test_line_spread_near_the_threshold_is_exact(spark):
     """Sketches of 200 sites are off by chance; the lines within the margin are counted."""
     rows = spark.range(6 * 210).selectExpr("id AS doc_id", "concat('line ', id % 6) AS text", "id div 6 AS at")

@@ -5,9 +5,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ridelake.llm import chat_format, decontamination, mixing, pii, quality, secret_scan, toxicity
@@ -68,10 +71,22 @@ def test_linked_spans_equal_a_gap_join(docs):
     for row in secret_scan.parts(frame).collect():
         every = [*row.base, *row.weak]
         expected[row.doc_id] = sorted((w.start, w.end, w.kind) for w in row.weak if all(any(
-            role[c.kind] == needed and max(c.start - w.end, w.start - c.end) <= secret_scan.REACH for c in every)
+            role[c.kind] == needed and 0 <= max(c.start - w.end, w.start - c.end) <= secret_scan.REACH for c in every)
             for needed in needs[w.kind]))
     got = {r.doc_id: sorted((s.start, s.end, s.kind) for s in r.linked) for r in secret_scan.scan(frame).collect()}
-    assert got == expected and [len(expected[i]) for i in range(11)] == [1, 1, 1, 0, 1, 1, 0, 1, 0, 0, 0]
+    assert got == expected and [len(expected[i]) for i in range(11)] == [1, 1, 0, 0, 1, 1, 0, 1, 0, 0, 0]
+
+
+def test_no_part_is_its_own_complement(docs):
+    """The same characters are not two parts, and a URL's path is no key; long keys are keys."""
+    key = "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY"
+    rows = [(1, "user=deadbeefdeadbeefdeadbeef"), (2, f"client_id={key}"),
+            (3, "login=bob see https://x.example.com/Docs/Api/V1/Reference/Something/Else"),
+            (4, f"client_id={key} {key}"), (5, f"user=bob {key * 30}"), (6, f"user=bob http://h.example.com/x?sig={key}"),
+            (7, "user=deadbeefdeadbeefdeadbeef." + "deadbeef" * 3 + " deadbeef" + "deadbeef" * 3)]
+    got = {r.doc_id: [s.split(":")[0] for s in r.spans.split(",") if s] for r in secret_scan.report(docs(*rows)).collect()}
+    assert got == {1: ["hex"], 2: [], 3: [], 4: ["account", "key"], 5: ["account", "key"],
+                   6: ["account", "endpoint", "key"], 7: ["account", "hex", "hex", "hex"]}
 
 
 def test_surrogates(docs, awkward):
@@ -147,6 +162,62 @@ def test_items_are_found_at_the_edits_allowed():
     assert found >= 0.95 * 150 and over == 0
 
 
+def edited(item, edits, kind, draw, words):
+    """``item`` after so many edits of one kind, or of any."""
+    out = list(item)
+    for _ in range(edits):
+        now = kind if kind != "any" else draw.choice(["substitute", "insert", "delete"])
+        at = draw.randrange(len(out))
+        if now == "delete":
+            del out[at]
+        elif now == "insert":
+            out.insert(at, draw.choice(words))
+        else:
+            out[at] = draw.choice(words)
+    return out
+
+
+@pytest.mark.parametrize("kind", ["substitute", "insert", "delete", "any"])
+@pytest.mark.parametrize("low, high", [(1, 9), (10, 60), (61, 200), (200, 600)])
+def test_recall_for_all_kinds_of_edits(kind, low, high):
+    """Items of all lengths at the very number of edits allowed, and of one more."""
+    draw = random.Random(f"{kind}{low}")
+    words = [f"w{i}" for i in range(3000)]
+    found = close = 0
+    for _ in range(40):
+        item = [draw.choice(words) for _ in range(draw.randrange(low, high + 1))]
+        allowed = len(item) // 10
+        items = decontamination.Items([5], [" ".join(item)])
+        around = [[draw.choice(words) for _ in range(draw.randrange(80))] for _ in range(2)]
+        numbers = WordNumbers()
+        held = around[0] + edited(item, allowed, kind, draw, words) + around[1]
+        hit = items.matches(" ".join(held), numbers)
+        found += bool(hit) and hit[0][1] <= allowed
+        close += bool(items.matches(" ".join(around[0] + around[1]), numbers)) and len(item) > 2
+    assert found >= 0.95 * 40 and close == 0
+
+
+def test_find_equals_brute_force(spark):
+    """Every document of sf0.001 and every item, compared by the exact search over the whole text; blocks change nothing."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").union(
+        spark.createDataFrame([(900, "with the"), (901, None), (902, "")], "item_id long, text string"))
+    numbers, expected = WordNumbers(), set()
+    said = {r.doc_id: numbers.of(decontamination.tokens(r.text)).tolist() for r in docs.collect()}
+    for row in items.collect():
+        item = numbers.of(decontamination.tokens(row.text)).tolist()
+        if item:
+            seen = set(item)
+            for number, words in said.items():
+                if len(seen.intersection(words)) >= 0.5 * len(seen):
+                    best, _ = decontamination.edit_search(item, words)
+                    if best <= len(item) // 10:
+                        expected.add((number, row.item_id, best))
+    for block in (decontamination.BLOCK_WORDS, 300):
+        rows = decontamination.find(docs, items, block_words=block).collect()
+        assert {(r.doc_id, r.item_id, r.edits) for r in rows} == expected and len(rows) == len(expected)
+
+
 def test_decontamination(spark, docs, awkward):
     items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa"), (2, "too short"),
                                    (3, None), (1, "alpha beta gamma delta epsilon zeta eta theta iota kappa")],
@@ -154,7 +225,7 @@ def test_decontamination(spark, docs, awkward):
     frame = docs((1, "x Alpha, beta gamma delta epsilon zeta eta theta iota kappa!"), (2, "too short"), (None, None),
                  (3, "alpha beta gamma delta epsilon ZETA eta theta iota lambda"), (4, "alpha beta gamma delta epsilon"))
     hits = [(r.doc_id, r.item_id, r.edits, r.first_word, r.end_word) for r in decontamination.find(frame, items).collect()]
-    assert sorted(set(hits)) == [(1, 1, 0, 1, 11), (3, 1, 1, 0, 9)]
+    assert sorted(set(hits)) == [(1, 1, 0, 1, 11), (2, 2, 0, 0, 2), (3, 1, 1, 0, 9)]
     kept = decontamination.without_items(frame, items)
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2, 4] and kept.columns == frame.columns
     assert decontamination.find(awkward, items.limit(0)).count() == 0
@@ -222,16 +293,55 @@ def test_classifiers_awkward(spark, awkward, module):
     assert module.scored(awkward.limit(0), module.train(awkward.limit(0), none)).count() == 0
 
 
-def test_stems_are_counted_in_all_documents(docs, spark, monkeypatch):
-    """A word of one toxic document in ten has evidence, however few documents the fit draws."""
-    monkeypatch.setattr(toxicity, "MAX_POSITIVE", 10)
-    monkeypatch.setattr(toxicity, "MAX_UNLABELLED", 100)
+def test_stems_are_counted_in_all_documents(docs, monkeypatch):
+    """A word of one toxic document in ten has evidence, however few negatives the candidates are checked on."""
+    monkeypatch.setattr(toxicity, "MAX_NEGATIVE", 10)
     frame = docs(*[(i, f"plain words here {'zorgo' if i % 50 == 0 else 'again'}") for i in range(2000)])
     labels = frame.selectExpr("doc_id", "1 AS quality", "cast(doc_id % 5 = 0 AS int) AS toxic")
     known = toxicity.train(frame, labels).known
     assert "=zorgo" in known and 0.6 < known["=zorgo"] < 0.7
 
 
+@pytest.mark.parametrize("most", [20_000, 5])
+def test_evidence_equals_brute_force(docs, spark, monkeypatch, most):
+    """All stems of all training documents counted one by one; ids that repeat or are marked twice included."""
+    monkeypatch.setattr(toxicity, "MAX_NEGATIVE", most)
+    draw = random.Random(8)
+    words = [f"{a}{b}{c}" for a in ("zor", "mil", "kan", "x") for b in ("go", "ta", "") for c in ("ble", "s", "")]
+    rows = [(i % 900, " ".join(draw.choices(words, k=6) + (["venom", "venomous"] if i % 7 == 0 else []))) for i in range(1000)]
+    marks = [(i, None, int(i % 7 == 0)) for i in range(0, 900, 2)] + [(7, None, 0), (7, None, 1), (None, None, 1)]
+    frame = docs(*rows, (None, "venom venomous"), (5000, None), extra=True)
+    known = toxicity.train(frame, spark.createDataFrame(marks, "doc_id long, quality int, toxic int")).known
+
+    def learnt(i):
+        return zlib.crc32(b"" if i is None else str(i).encode()) % 5 != 0
+    usable = [(i, t) for i, _, t in marks if i is not None and learnt(i)]
+    prior = sum(t for _, t in usable) / len(usable)
+    toxic = {i for i, t in usable if t}
+    every = [(r.doc_id, toxicity.tokens(r.text)) for r in frame.collect() if learnt(r.doc_id)]
+    p, u, n_p = Counter(), Counter(), 0
+    for i, said in every:
+        shown = set(toxicity.Stems().of(set(said)))
+        u.update(shown)
+        if i in toxic:
+            p.update(shown)
+            n_p += 1
+    expected = {x: float(toxicity.evidence(p[x], u[x], n_p, len(every), prior)) for x in p}
+    expected = {x: e for x, e in expected.items() if e >= toxicity.LEAST_EVIDENCE}
+    assert "=venom" in expected and known == pytest.approx(expected)
+
+
+def test_fit_counts_rows_as_often_as_said():
+    """Cells with their numbers give the weights that the single rows give."""
+    draw = np.random.default_rng(4)
+    p, u = draw.normal(1, 1, (6, 3)), draw.normal(0, 1, (9, 3))
+    n, m = draw.integers(1, 5, 6), draw.integers(1, 5, 9)
+    cells = toxicity.fit(p, u, 0.2, n, m)
+    single = toxicity.fit(np.repeat(p, n, axis=0), np.repeat(u, m, axis=0), 0.2, np.ones(n.sum()), np.ones(m.sum()))
+    assert np.allclose(cells[0], single[0]) and abs(cells[1] - single[1]) < 1e-9
+    assert 0 <= toxicity.cell(np.ones(9), 10**9) < toxicity.CELLS
+
+
 def test_mix_keeps_its_targets(spark, awkward, docs):
     rows = [(i, " ".join(["w"] * (i % 17 + 1)), f"s{i % 4}") for i in range(400)] + [(900, "a b c", None), (901, None, "s9")]
     got = mixing.mix(docs(*rows, extra=True)).toPandas()
@@ -249,12 +359,14 @@ def test_mix_keeps_its_targets(spark, awkward, docs):
 
 
 def test_pipeline_stages_on_awkward_rows(spark, awkward, docs):
-    frame = awkward.select("doc_id", "text", "lang", "source", "n_chars")
+    clashing = awkward.withColumn("train_position", F.lit(1)).withColumn("queue", F.lit(2))
     for name, stage in corpus_pipeline.STAGES:
-        for rows in (frame, frame.limit(0)):
+        for rows in (clashing, clashing.limit(0)):
             out = stage(spark, rows, SF)
-            assert set(frame.columns) <= set(out.columns), name
+            assert set(rows.columns) <= set(out.columns) and len(out.columns) == len(set(out.columns)), name
             assert out.count() <= 2 * rows.count(), name
+            carried = out.select("key", "_id", "_node", "_h1", "n_removed", "`a.b`").distinct().collect()
+            assert [tuple(r) for r in carried] in ([], [(1, 12, 13, 14, 10, 27)]), name
 
 
 def test_pipeline_equals_its_operators(spark):
