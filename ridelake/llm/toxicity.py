@@ -50,6 +50,9 @@ MAX_NEGATIVE = 20_000
 STEMS = range(3, 10)
 LEAST_DOCUMENTS, LEAST_SHARE, LEAST_EVIDENCE = 3, 1e-5, 0.25
 FOLDS = 5
+# Ids up to this number are sent to all tasks, so that texts need not be shuffled to find those of the ids; beyond,
+# Spark joins as it sees fit.
+MAX_BROADCAST = 1_000_000
 LEVELS = np.array([0.25, 0.35, 0.45, 0.55, 0.65, 0.75])
 # Classes of a count (0, 1, 2 to 3, more) for each level, and of the number of words (by powers of two).
 COUNT_CLASSES, WORD_CLASSES = 4, 24
@@ -222,15 +225,17 @@ def candidates(docs: DataFrame, usable: DataFrame, prior: float, n_positive: int
     """The stems whose evidence may suffice, in order. ``usable`` has ids and marks (``toxic``) to learn from."""
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold")
 
-    def stems_of(marked: DataFrame, name: str) -> DataFrame:
-        return docs.select("doc_id", "text", fold).join(marked, "doc_id").select("text", "fold").mapInArrow(
+    def stems_of(marked: DataFrame, rows: int, name: str) -> DataFrame:
+        sent = F.broadcast(marked) if rows <= MAX_BROADCAST else marked
+        return docs.select("doc_id", "text", fold).join(sent, "doc_id").select("text", "fold").mapInArrow(
             _stem_counts, "stem string, fold int, n long").groupBy("stem").agg(F.sum("n").alias(name))
 
-    positive = stored(stems_of(usable.where("toxic = 1").select("doc_id"), "p").where(
+    toxic, negatives = [usable.where(F.col("toxic") == mark).select("doc_id") for mark in (1, 0)]
+    positive = stored(stems_of(toxic, toxic.count(), "p").where(
         F.col("p") >= least_documents(n_positive)), "toxicity-positive")
-    negatives = usable.where("toxic = 0")
     share = min(1.0, MAX_NEGATIVE / max(negatives.count(), 1))
-    negative = stems_of(negatives.where(in_share(share, "negative")).select("doc_id"), "n")
+    drawn = stored(negatives.where(in_share(share, "negative")), "toxicity-negative")
+    negative = stems_of(drawn, drawn.count(), "n").join(positive.select("stem"), "stem", "left_semi")
     p, u = F.col("p").cast("double"), (F.col("p") + F.coalesce("n", F.lit(0))).cast("double")
     # The same bound as in ``evidence``, for the fewest unlabelled documents there can be.
     bound = F.lit(prior * n_unlabelled / n_positive) * p / u * F.exp(F.lit(-1.64) * F.sqrt(1 / p + 1 / u))
@@ -246,7 +251,7 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
     if not toxic:
         return NOTHING_KNOWN
     prior = toxic / marks if prior is None else prior
-    usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    usable = stored(usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "toxicity-marks")
     docs = docs.select("doc_id", "text").where(~held_out())
     marked = usable.where("toxic = 1").select("doc_id", F.lit(1).alias("side"))
     n_u, n_p = docs.count(), docs.select("doc_id").join(marked, "doc_id").count()
