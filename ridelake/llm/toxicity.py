@@ -12,10 +12,10 @@ document with the stem is toxic, of which the lower confidence bound is the stem
 number at any size of the corpus. There is no other limit.
 
 *Counting.* All positives are counted first. A stem that enough of them have is a candidate unless its evidence is out of
-reach: positives and marked negatives are among the unlabelled documents, and the bound falls with their number, so a
-stem of so few evidence on these alone cannot have more. For that, negatives may be a hashed sample (``MAX_NEGATIVE``
-documents, all labelled): leaving some out keeps candidates, it drops none. Then every training document is read once
-and leaves the numbers of the candidates it shows; counts, the fit and its folds work on these numbers.
+reach: the bound falls with the number of unlabelled documents, and a random pilot of about ``PILOT`` documents tells at least
+how many these are, by six standard deviations (a stem is passed over wrongly once in a thousand millions). That takes
+out the common words. Then every training document is read once and leaves the numbers of the candidates it shows; counts,
+the fit and its folds work on these numbers, so evidence comes from exact counts over all training documents.
 
 *Classifier.* Linear over a few numbers of a text: how many of its stems have how much evidence, and the largest.
 Its training documents were counted as well, so each gets the evidence counted in the other ``FOLDS - 1`` folds. The risk
@@ -42,14 +42,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ridelake.llm.quality import in_share
 from ridelake.llm.shared import python_tasks, stored
 from ridelake.llm.shingles import tokens
 
-MAX_NEGATIVE = 20_000
+PILOT, DEVIATIONS = 20_000, 6
 STEMS = range(3, 10)
 LEAST_DOCUMENTS, LEAST_SHARE, LEAST_EVIDENCE = 3, 1e-5, 0.25
 FOLDS = 5
+SEED = 11
 # Ids up to this number are sent to all tasks, so that texts need not be shuffled to find those of the ids; beyond,
 # Spark joins as it sees fit.
 MAX_BROADCAST = 1_000_000
@@ -221,25 +221,24 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, n_positive:
     return w[:size], float(w[size])
 
 
-def candidates(docs: DataFrame, usable: DataFrame, prior: float, n_positive: int, n_unlabelled: int) -> list[str]:
-    """The stems whose evidence may suffice, in order. ``usable`` has ids and marks (``toxic``) to learn from."""
-    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold")
+def candidates(docs: DataFrame, toxic: DataFrame, prior: float, n_positive: int, n_unlabelled: int) -> list[str]:
+    """The stems whose evidence may suffice, in order. ``docs`` are those to learn from, ``toxic`` ids of positives."""
+    fold = F.lit(0).alias("fold")
 
-    def stems_of(marked: DataFrame, rows: int, name: str) -> DataFrame:
-        sent = F.broadcast(marked) if rows <= MAX_BROADCAST else marked
-        return docs.select("doc_id", "text", fold).join(sent, "doc_id").select("text", "fold").mapInArrow(
-            _stem_counts, "stem string, fold int, n long").groupBy("stem").agg(F.sum("n").alias(name))
+    def stems_of(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select("text", fold).mapInArrow(_stem_counts, "stem string, fold int, n long").groupBy("stem").agg(
+            F.sum("n").alias(name))
 
-    toxic, negatives = [usable.where(F.col("toxic") == mark).select("doc_id") for mark in (1, 0)]
-    positive = stored(stems_of(toxic, toxic.count(), "p").where(
+    sent = F.broadcast(toxic) if toxic.count() <= MAX_BROADCAST else toxic
+    positive = stored(stems_of(docs.join(sent, "doc_id"), "p").where(
         F.col("p") >= least_documents(n_positive)), "toxicity-positive")
-    share = min(1.0, MAX_NEGATIVE / max(negatives.count(), 1))
-    drawn = stored(negatives.where(in_share(share, "negative")), "toxicity-negative")
-    negative = stems_of(drawn, drawn.count(), "n").join(positive.select("stem"), "stem", "left_semi")
-    p, u = F.col("p").cast("double"), (F.col("p") + F.coalesce("n", F.lit(0))).cast("double")
+    share = min(1.0, PILOT / n_unlabelled)
+    pilot = stems_of(docs.where(F.rand(SEED) < share), "k").join(positive.select("stem"), "stem", "left_semi")
+    p, k = F.col("p").cast("double"), F.coalesce("k", F.lit(0)).cast("double")
+    u = F.greatest(p, (k - DEVIATIONS * F.sqrt(k + 9)) / share if share < 1 else k)
     # The same bound as in ``evidence``, for the fewest unlabelled documents there can be.
     bound = F.lit(prior * n_unlabelled / n_positive) * p / u * F.exp(F.lit(-1.64) * F.sqrt(1 / p + 1 / u))
-    reach = positive.join(negative, "stem", "left").where(bound >= LEAST_EVIDENCE * (1 - 1e-9))
+    reach = positive.join(pilot, "stem", "left").where(bound >= LEAST_EVIDENCE * (1 - 1e-9))
     return sorted(row["stem"] for row in reach.select("stem").collect())
 
 
@@ -257,7 +256,7 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
     n_u, n_p = docs.count(), docs.select("doc_id").join(marked, "doc_id").count()
     if not n_p:
         return NOTHING_KNOWN
-    stems = candidates(docs, usable, prior, n_p, n_u)
+    stems = candidates(docs, marked.select("doc_id"), prior, n_p, n_u)
     if not stems:
         return NOTHING_KNOWN
 

@@ -294,18 +294,18 @@ def test_classifiers_awkward(spark, awkward, module):
 
 
 def test_stems_are_counted_in_all_documents(docs, monkeypatch):
-    """A word of one toxic document in ten has evidence, however few negatives the candidates are checked on."""
-    monkeypatch.setattr(toxicity, "MAX_NEGATIVE", 10)
+    """A word of one toxic document in ten has evidence, however small the pilot."""
+    monkeypatch.setattr(toxicity, "PILOT", 100)
     frame = docs(*[(i, f"plain words here {'zorgo' if i % 50 == 0 else 'again'}") for i in range(2000)])
     labels = frame.selectExpr("doc_id", "1 AS quality", "cast(doc_id % 5 = 0 AS int) AS toxic")
     known = toxicity.train(frame, labels).known
     assert "=zorgo" in known and 0.6 < known["=zorgo"] < 0.7
 
 
-@pytest.mark.parametrize("most", [20_000, 5])
+@pytest.mark.parametrize("most", [20_000, 200])
 def test_evidence_equals_brute_force(docs, spark, monkeypatch, most):
     """All stems of all training documents counted one by one; ids that repeat or are marked twice included."""
-    monkeypatch.setattr(toxicity, "MAX_NEGATIVE", most)
+    monkeypatch.setattr(toxicity, "PILOT", most)
     draw = random.Random(8)
     words = [f"{a}{b}{c}" for a in ("zor", "mil", "kan", "x") for b in ("go", "ta", "") for c in ("ble", "s", "")]
     rows = [(i % 900, " ".join(draw.choices(words, k=6) + (["venom", "venomous"] if i % 7 == 0 else []))) for i in range(1000)]
