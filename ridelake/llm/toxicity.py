@@ -14,8 +14,9 @@ number at any size of the corpus. There is no other limit.
 *Counting.* All positives are counted first. A stem that enough of them have is a candidate unless its evidence is out of
 reach: the bound falls with the number of unlabelled documents, and a random pilot of about ``PILOT`` documents tells at least
 how many these are, by six standard deviations (a stem is passed over wrongly once in a thousand millions). That takes
-out the common words. Then every training document is read once and leaves the numbers of the candidates it shows; counts,
-the fit and its folds work on these numbers, so evidence comes from exact counts over all training documents.
+out the common words. Candidates are counted exactly in all training documents, each task adding up an array of one number
+for each; what then has evidence is final. In a second reading every document leaves the numbers of the stems with evidence
+that it shows; the folds and the fit work on these few numbers.
 
 *Classifier.* Linear over a few numbers of a text: how many of its stems have how much evidence, and the largest.
 Its training documents were counted as well, so each gets the evidence counted in the other ``FOLDS - 1`` folds. The risk
@@ -221,8 +222,8 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, n_positive:
     return w[:size], float(w[size])
 
 
-def candidates(docs: DataFrame, toxic: DataFrame, prior: float, n_positive: int, n_unlabelled: int) -> list[str]:
-    """The stems whose evidence may suffice, in order. ``docs`` are those to learn from, ``toxic`` ids of positives."""
+def candidates(docs: DataFrame, toxic: DataFrame, prior: float, n_positive: int, n_unlabelled: int) -> list[tuple[str, int]]:
+    """The stems whose evidence may suffice, in order, with the number of positives that show them. ``docs`` are those to learn from, ``toxic`` ids of positives."""
     fold = F.lit(0).alias("fold")
 
     def stems_of(rows: DataFrame, name: str) -> DataFrame:
@@ -239,7 +240,30 @@ def candidates(docs: DataFrame, toxic: DataFrame, prior: float, n_positive: int,
     # The same bound as in ``evidence``, for the fewest unlabelled documents there can be.
     bound = F.lit(prior * n_unlabelled / n_positive) * p / u * F.exp(F.lit(-1.64) * F.sqrt(1 / p + 1 / u))
     reach = positive.join(pilot, "stem", "left").where(bound >= LEAST_EVIDENCE * (1 - 1e-9))
-    return sorted(row["stem"] for row in reach.select("stem").collect())
+    return sorted((row["stem"], row["p"]) for row in reach.select("stem", "p").collect())
+
+
+def _counts_of(sent, size: int):
+    """How many documents of a task show each candidate."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stems, total = Stems(sent.value), np.zeros(size, np.int64)
+        for batch in batches:
+            ids = [i for text in batch.column(0).to_pylist() for i in stems.of(set(tokens(text)))]
+            total += np.bincount(np.array(ids, np.int64), minlength=size)
+        shown = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(shown, pa.int32()), pa.array(total[shown])], ["id", "n"])
+    return counted
+
+
+def with_evidence(docs: DataFrame, found: list[tuple[str, int]], prior: float, n_positive: int, n_unlabelled: int) -> list[str]:
+    """The candidates that have evidence, by their counts in all documents."""
+    sent = docs.sparkSession.sparkContext.broadcast({stem: i for i, (stem, _) in enumerate(found)})
+    u = np.zeros(len(found))
+    for row in docs.select("text").mapInArrow(_counts_of(sent, len(found)), "id int, n long").groupBy("id").agg(
+            F.sum("n").alias("n")).toLocalIterator():
+        u[row["id"]] = row["n"]
+    known = evidence([p for _, p in found], u, n_positive, n_unlabelled, prior)
+    return [stem for (stem, _), e in zip(found, known) if e >= LEAST_EVIDENCE]
 
 
 def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Model:
@@ -256,7 +280,8 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
     n_u, n_p = docs.count(), docs.select("doc_id").join(marked, "doc_id").count()
     if not n_p:
         return NOTHING_KNOWN
-    stems = candidates(docs, marked.select("doc_id"), prior, n_p, n_u)
+    found = candidates(docs, marked.select("doc_id"), prior, n_p, n_u)
+    stems = with_evidence(docs, found, prior, n_p, n_u) if found else []
     if not stems:
         return NOTHING_KNOWN
 
@@ -265,6 +290,7 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
     sent = spark.sparkContext.broadcast({stem: i for i, stem in enumerate(stems)})
     numbers = stored(docs.select("doc_id", fold, "text").mapInArrow(
         _shown(sent), f"doc_id {kind}, fold int, words int, ids array<int>"), "toxicity-numbers")
+    marked = F.broadcast(marked) if toxic <= MAX_BROADCAST else marked
     rows = numbers.join(marked, "doc_id", "left").select(
         F.coalesce("side", F.lit(0)).alias("side"), "fold", "words", "ids")
     n, counts = np.zeros((FOLDS, 2)), np.zeros((len(stems), FOLDS, 2))
