@@ -28,7 +28,8 @@ FROM split LEFT JOIN shares USING (doc_id)""",
 WITH rows AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '{_SPACE}', ' ', 'g') AS body FROM documents),
 entries AS (SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM rows GROUP BY body)
-SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
+SELECT doc_id, keep_id, group_size,
+       doc_id IS NOT DISTINCT FROM keep_id AND row_number() OVER (PARTITION BY body, doc_id) = 1 AS kept,
        sha256(body) AS text_sha256, 1 AS chain
 FROM rows JOIN entries USING (body)""",
     "op10_mixing": f"""

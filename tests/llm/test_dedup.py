@@ -17,7 +17,9 @@ def test_exact_dedup_awkward(awkward):
     rows = exact_dedup.deduplicate(awkward).collect()
     assert len(rows) == 9
     by = {(r.doc_id, r.group_size): r for r in rows}
-    assert by[(3, 3)].keep_id == 3 and by[(3, 3)].kept and not by[(5, 3)].kept
+    assert by[(3, 3)].keep_id == 3 and not by[(5, 3)].kept
+    assert sorted(r.kept for r in rows if r.doc_id == 3 and r.group_size == 3) == [False, True]  # one of a row that repeats
+    assert sum(r.kept for r in rows) == len({r.text_sha256 for r in rows})
     assert by[(1, 3)].kept and not by[(2, 3)].kept and by[(2, 3)].keep_id == 1  # null counts as empty
     assert exact_dedup.deduplicate(awkward.limit(0)).count() == 0
 
@@ -34,13 +36,32 @@ def test_directory_doubles_and_slots_share_buckets(spark, docs):
 
 
 def test_texts_that_share_a_key_chain(docs, monkeypatch):
-    """With one key for all texts, chains and digests still keep them apart."""
+    """With one key for all texts and one digest, bytes alone keep them apart."""
     def same_key(docs):
         return probes(docs).withColumn("key", F.lit(7).cast("long"))
     probes = exact_dedup.probes
     monkeypatch.setattr(exact_dedup, "probes", same_key)
-    rows = exact_dedup.deduplicate(docs((1, "a"), (2, "b"), (3, "a"), (4, "c"))).orderBy("doc_id").collect()
-    assert [(r.keep_id, r.group_size, r.chain) for r in rows] == [(1, 2, 1), (2, 1, 2), (1, 2, 1), (4, 1, 3)]
+    monkeypatch.setattr(exact_dedup.F, "sha2", lambda *_: F.lit("same"))
+    rows = exact_dedup.deduplicate(docs((1, "a"), (2, "b"), (3, "a"), (4, "c"), (2, "b"))).orderBy("doc_id").collect()
+    assert [(r.keep_id, r.group_size, r.chain) for r in rows] == [
+        (1, 2, 1), (2, 2, 2), (2, 2, 2), (1, 2, 1), (4, 1, 3)]
+    assert sum(r.kept for r in rows) == 3 and {r.text_sha256 for r in rows} == {"same"}
+
+
+def test_chains_among_other_keys(spark, monkeypatch):
+    """Some keys collide and some do not; small buckets, so that the directory grows."""
+    probes = exact_dedup.probes
+    monkeypatch.setattr(exact_dedup, "probes", lambda docs: probes(docs).withColumn(
+        "key", F.xxhash64(F.length("body"), F.when(F.length("body") > 6, F.col("body")))))
+    frame = spark.range(4000).selectExpr("id AS doc_id", "concat('t', id % 1500) AS text").unionByName(
+        spark.range(500).selectExpr("id + 5000 AS doc_id", "concat('longer ', id % 250) AS text"))
+    rows = exact_dedup.deduplicate(frame, capacity=20).join(frame, "doc_id").collect()
+    least, number = {}, {}
+    for row in rows:
+        least[row.text] = min(row.doc_id, least.get(row.text, row.doc_id))
+        number[row.text] = number.get(row.text, 0) + 1
+    assert len(rows) == 4500 and {(r.keep_id, r.group_size, r.kept) == (
+        least[r.text], number[r.text], r.doc_id == least[r.text]) for r in rows} == {True}
 
 
 def brute_links(rows):
