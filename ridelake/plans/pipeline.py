@@ -19,7 +19,7 @@ from ridelake.operators.star import to_dim_zones, to_fact_trips
 from ridelake.schema import FACT_PARTITION, FACT_TABLE
 from ridelake.session import discard, input_bytes, pin_utc, sized_for, work_path, work_table
 from ridelake.sinks.parquet import spread, write_facts, write_marts
-from ridelake.sinks.warehouse import load_dim_zones, load_fact_trips, load_tables
+from ridelake.sinks.warehouse import load_dim_zones, load_fact_trips, load_tables, new_version
 from ridelake.sources.files import expected_files, missing_files
 from ridelake.sources.landing import land_raw, read_lake
 from ridelake.sources.tables import read_partitioned, read_zone_lookup
@@ -82,7 +82,8 @@ def run(
 ) -> Outcome:
     """Land the files of folder ``raw``, transform the lake, load the warehouse and the star schema.
 
-    The zone dimension is loaded if there is a lookup that can be read. With ``dataset``, ``years`` and
+    Each run writes its tables to a folder of its own below ``out``, and readers of the warehouse see it when it is
+    complete; ``warehouse.vacuum`` deletes the older ones. The zone dimension is loaded if there is a lookup that can be read. With ``dataset``, ``years`` and
     ``months`` the monthly files that should be there and are not are reported.
     """
     pin_utc(spark)
@@ -96,13 +97,14 @@ def run(
             log.warning("%d expected file(s) missing: %s", len(outcome.missing), ", ".join(outcome.missing))
 
     trips = read_lake(spark, lake)
-    outcome.paths, staged = transform(spark, trips, out, keep_enriched=True)
+    version = new_version(out)
+    outcome.paths, staged = transform(spark, trips, version, keep_enriched=True)
     try:
         outcome.rows_in = trips.count()
         outcome.rows_kept = read_partitioned(spark, outcome.paths[FACT_TABLE]).count()
         rejected = 100 * (1 - outcome.rows_kept / outcome.rows_in) if outcome.rows_in else 0
         log.info("%d rows in, %d kept (%.1f %% rejected)", outcome.rows_in, outcome.rows_kept, rejected)
-        outcome.tables, outcome.failed = load_tables(spark, out, db)
+        outcome.tables, outcome.failed = load_tables(spark, version, db)
         star, failed = load_star(spark, staged, zones_csv, db, service_type)
         outcome.tables.update(star)
         outcome.failed += failed

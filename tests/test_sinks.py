@@ -4,6 +4,7 @@ import datetime as dt
 import glob
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,6 +97,70 @@ def test_load_tables_skips_absent_and_survives_broken_ones(spark, facts, tmp_pat
     assert {row["table"]: row["rows"] for row in counts.collect()} == loaded
 
 
+def test_a_load_that_dies_leaves_the_table_readable(spark, facts, tmp_path, monkeypatch):
+    def write(rows):
+        base = warehouse.new_version(str(tmp_path))
+        parquet.write_facts(rows, f"{base}/trajets_nettoyes")
+        return base
+
+    def rows():
+        return spark.table("swap_db.trajets_nettoyes").count()
+
+    spark.sql("CREATE SCHEMA swap_db")
+    spark.sql("CREATE TABLE swap_db.trajets_nettoyes (id LONG) USING parquet")  # of an earlier kind of load
+    first, second = write(facts), write(facts.where("date_trajet = '2024-01-01'"))
+    assert warehouse.load_tables(spark, first, "swap_db") == ({"trajets_nettoyes": 7}, [])
+    assert rows() == 7
+
+    def dies(*_):
+        raise RuntimeError("lost")
+    point = warehouse._point
+    monkeypatch.setattr(warehouse, "_point", dies)  # before the change
+    assert warehouse.load_tables(spark, second, "swap_db") == ({}, ["trajets_nettoyes"])
+    assert rows() == 7
+    monkeypatch.setattr(warehouse, "_point", lambda *where: (point(*where), dies()))  # right after it
+    assert warehouse.load_tables(spark, second, "swap_db") == ({}, ["trajets_nettoyes"])
+    assert rows() == 2
+    monkeypatch.setattr(warehouse, "_point", point)
+    assert warehouse.load_tables(spark, second, "swap_db") == ({"trajets_nettoyes": 2}, [])
+    stored = spark.table("swap_db.trajets_nettoyes")
+    assert "PartitionFilters: [isnotnull(date_trajet" in stored.where(
+        "date_trajet = '2024-01-01'")._jdf.queryExecution().executedPlan().toString()
+
+    assert len(warehouse.vacuum(spark, "swap_db")) == 3 and warehouse.vacuum(spark, "swap_db") == []
+    assert rows() == 2 and len(parts(f"{second}/trajets_nettoyes/*")) > 0
+    assert not os.path.exists(f"{first}/trajets_nettoyes")  # no view reads it; the other folder is still read
+
+
+def test_filters_on_either_zone_skip_row_groups(spark, tmp_path):
+    """Row groups that a filter on one zone must read, by the least and greatest zone in their footers."""
+    trips = spark.range(200_000).selectExpr(
+        "date'2024-01-01' AS day", "pmod(xxhash64(id), 256) AS pickup", "pmod(xxhash64(id, 1), 256) AS dropoff", "id")
+    read = {}
+    for name, cluster in {"both": [parquet.interleaved("pickup", "dropoff")], "one": ["pickup", "dropoff"]}.items():
+        path = str(tmp_path / name)
+        (parquet.spread(trips, "day", *cluster).write.option("parquet.block.size", 32 * 1024)
+         .option("parquet.block.size.row.check.min", 100).option("parquet.page.size.row.check.min", 100).parquet(path))
+        groups = [meta.row_group(i) for part in parts(path) for meta in [pq.ParquetFile(part).metadata]
+                  for i in range(meta.num_row_groups)]
+        assert len(groups) >= 32
+        for at, zone in ((1, "pickup"), (2, "dropoff")):
+            hits = [sum(g.column(at).statistics.min <= z <= g.column(at).statistics.max for g in groups)
+                    for z in range(0, 256, 15)]
+            read[name, zone] = sum(hits) / len(hits) / len(groups)
+    assert read["both", "pickup"] < 0.35 and read["both", "dropoff"] < 0.35
+    assert read["one", "dropoff"] > 0.9  # what sorting by pickup first gives
+
+
+def test_interleaved_order_by_hand(spark):
+    rows = spark.createDataFrame([(0, 0), (0, 1), (1, 0), (3, 5), (None, 1), (-4, 70_000)], "a long, b long")
+    def expected(a, b):
+        a, b = (min(max(x or 0, 0), 65_535) for x in (a, b))
+        return sum((a >> i & 1) << 2 * i + 1 | (b >> i & 1) << 2 * i for i in range(16))
+    for row in rows.withColumn("at", parquet.interleaved("a", "b")).collect():
+        assert row.at == expected(row.a, row.b)
+
+
 def raw_file(spark, folder, name, sql):
     os.makedirs(folder, exist_ok=True)
     spark.sql(sql).toPandas().to_parquet(f"{folder}/{name}.parquet", index=False)
