@@ -14,9 +14,9 @@ number at any size of the corpus. There is no other limit.
 *Counting.* All positives are counted first. A stem that enough of them have is a candidate unless its evidence is out of
 reach: the bound falls with the number of unlabelled documents, and a random pilot of about ``PILOT`` documents tells at least
 how many these are, by six standard deviations (a stem is passed over wrongly once in a thousand millions). That takes
-out the common words. Candidates are counted exactly in all training documents, each task adding up an array of one number
-for each; what then has evidence is final. In a second reading every document leaves the numbers of the stems with evidence
-that it shows; the folds and the fit work on these few numbers.
+out the common words. All training documents are read once and leave the numbers of the candidates that they show; of these
+the candidates are counted exactly, each task adding up an array of one number for each. What then has evidence is final;
+the folds and the fit work on the numbers of these few stems.
 
 *Classifier.* Linear over a few numbers of a text: how many of its stems have how much evidence, and the largest.
 Its training documents were counted as well, so each gets the evidence counted in the other ``FOLDS - 1`` folds. The risk
@@ -39,6 +39,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -58,6 +59,8 @@ LEVELS = np.array([0.25, 0.35, 0.45, 0.55, 0.65, 0.75])
 # Classes of a count (0, 1, 2 to 3, more) for each level, and of the number of words (by powers of two).
 COUNT_CLASSES, WORD_CLASSES = 4, 24
 CELLS = COUNT_CLASSES ** len(LEVELS) * WORD_CLASSES
+# Counts of so many candidates go in one row; tasks' rows are first added up in so many parts.
+BLOCK, PARTS = 4096, 64
 STEPS, RATE, DECAY = 800, 0.05, 3e-3
 
 
@@ -171,7 +174,7 @@ def _shown(sent):
             for text in batch.column("text").to_pylist():
                 said = set(tokens(text))
                 words.append(len(said))
-                ids.append(sorted(stems.of(said)))
+                ids.append(list(stems.of(said)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("fold"), pa.array(words, pa.int32()), pa.array(ids, pa.list_(pa.int32()))],
                 ["doc_id", "fold", "words", "ids"])
@@ -243,27 +246,50 @@ def candidates(docs: DataFrame, toxic: DataFrame, prior: float, n_positive: int,
     return sorted((row["stem"], row["p"]) for row in reach.select("stem", "p").collect())
 
 
-def _counts_of(sent, size: int):
-    """How many documents of a task show each candidate."""
+def _in_blocks(size: int):
+    """How many documents of a task show each candidate: one row for each ``BLOCK`` candidates."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stems, total = Stems(sent.value), np.zeros(size, np.int64)
+        total = np.zeros(-(-size // BLOCK) * BLOCK, np.int64)
         for batch in batches:
-            ids = [i for text in batch.column(0).to_pylist() for i in stems.of(set(tokens(text)))]
-            total += np.bincount(np.array(ids, np.int64), minlength=size)
-        shown = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(shown, pa.int32()), pa.array(total[shown])], ["id", "n"])
+            total += np.bincount(batch.column("ids").flatten().to_numpy(zero_copy_only=False), minlength=len(total))
+        blocks = total.reshape(-1, BLOCK)
+        part = TaskContext.get().partitionId() % PARTS
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(len(blocks)), pa.int32()), pa.array([part] * len(blocks), pa.int32()),
+             pa.array(list(blocks), pa.list_(pa.int64()))], ["block", "part", "n"])
     return counted
 
 
-def with_evidence(docs: DataFrame, found: list[tuple[str, int]], prior: float, n_positive: int, n_unlabelled: int) -> list[str]:
-    """The candidates that have evidence, by their counts in all documents."""
-    sent = docs.sparkSession.sparkContext.broadcast({stem: i for i, (stem, _) in enumerate(found)})
-    u = np.zeros(len(found))
-    for row in docs.select("text").mapInArrow(_counts_of(sent, len(found)), "id int, n long").groupBy("id").agg(
-            F.sum("n").alias("n")).toLocalIterator():
-        u[row["id"]] = row["n"]
+def _added_up(keys: tuple, table: pa.Table) -> pa.Table:
+    n = table.column("n").combine_chunks().flatten().to_numpy().reshape(-1, BLOCK).sum(axis=0)
+    return pa.table({"block": table.column("block").slice(0, 1), "n": pa.array([n], pa.list_(pa.int64()))})
+
+
+def with_evidence(numbers: DataFrame, found: list[tuple[str, int]], prior: float, n_positive: int, n_unlabelled: int) -> list[int]:
+    """Numbers of the candidates that have evidence, by their counts in all documents. Tasks' arrays are added up in
+    two steps, so that no group has more of them than tasks by ``PARTS``."""
+    blocks = numbers.select("ids").mapInArrow(_in_blocks(len(found)), "block int, part int, n array<long>")
+    blocks = blocks.groupBy("block", "part").applyInArrow(_added_up, "block int, n array<long>")
+    blocks = blocks.groupBy("block").applyInArrow(_added_up, "block int, n array<long>").orderBy("block")
+    u = np.concatenate([row["n"] for row in blocks.toLocalIterator()])[:len(found)]
     known = evidence([p for _, p in found], u, n_positive, n_unlabelled, prior)
-    return [stem for (stem, _), e in zip(found, known) if e >= LEAST_EVIDENCE]
+    return np.flatnonzero(known >= LEAST_EVIDENCE).tolist()
+
+
+def _renumbered(kept: list[int], size: int):
+    """The documents' numbers of candidates become those of the kept ones, all others go."""
+    def renumbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(size, -1, np.int32)
+        place[kept] = np.arange(len(kept), dtype=np.int32)
+        for batch in batches:
+            lists = batch.column("ids")
+            new = place[lists.flatten().to_numpy(zero_copy_only=False)]
+            starts = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+            before = np.concatenate([[0], np.cumsum(new >= 0)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(before[starts.astype(np.int64)]), pa.array(new[new >= 0]))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", "fold", "words")], ids],
+                                             ["doc_id", "fold", "words", "ids"])
+    return renumbered
 
 
 def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Model:
@@ -281,15 +307,17 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
     if not n_p:
         return NOTHING_KNOWN
     found = candidates(docs, marked.select("doc_id"), prior, n_p, n_u)
-    stems = with_evidence(docs, found, prior, n_p, n_u) if found else []
-    if not stems:
+    if not found:
         return NOTHING_KNOWN
-
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    sent = spark.sparkContext.broadcast({stem: i for i, stem in enumerate(stems)})
-    numbers = stored(docs.select("doc_id", fold, "text").mapInArrow(
-        _shown(sent), f"doc_id {kind}, fold int, words int, ids array<int>"), "toxicity-numbers")
+    shown = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fold int, words int, ids array<int>"
+    sent = spark.sparkContext.broadcast({stem: i for i, (stem, _) in enumerate(found)})
+    numbers = stored(docs.select("doc_id", fold, "text").mapInArrow(_shown(sent), shown), "toxicity-numbers")
+    kept = with_evidence(numbers, found, prior, n_p, n_u)
+    if not kept:
+        return NOTHING_KNOWN
+    stems = [found[i][0] for i in kept]
+    numbers = stored(numbers.mapInArrow(_renumbered(kept, len(found)), shown), "toxicity-evidence")
     marked = F.broadcast(marked) if toxic <= MAX_BROADCAST else marked
     rows = numbers.join(marked, "doc_id", "left").select(
         F.coalesce("side", F.lit(0)).alias("side"), "fold", "words", "ids")
