@@ -7,26 +7,32 @@ persons: a form of address with one to three names, or a known given name with a
 written: telephone numbers with other punctuation get the same digits, an e-mail domain the same domain, a family
 name the same family name, alone or after a given name. So entities that are one stay one, in all documents.
 
-*Same kind and look.* Digits become digits, letters letters of the same case and script; punctuation, country
-codes, a card's first digit and its valid check digit stay. Given names are exchanged within a list of the
-same gender and script, by a shift that the key chooses; family names are built of syllables, with the
-feminine ending where the script has one.
-
-*Distinct.* All entities of the corpus are compared once: where two would share a surrogate, or a surrogate is
-itself an entity of the corpus, all but one draw again, until nothing collides. Only entities that drew more than
-once are looked up by the rewriting; usually there are none, and texts are rewritten where they lie.
+*Same kind and look.* Digits become digits, letters letters of the same script; punctuation, the country code of a
+number with a plus sign (of others the first digit), the country of an IBAN and a card's first digit stay, and check
+digits are valid where they were. Given names are exchanged within a list of the same gender and script, by a shift that
+the key chooses; family names are built of syllables, with the feminine ending where the script has one, and keep
+capitals throughout and hyphens; each part of a double name is a name of its own. Addresses come out in lower case.
+
+*Distinct.* All entities of the corpus are compared once, mail domains for themselves: where two would share a surrogate,
+or a surrogate is itself an entity of the corpus, all but one draw again, until nothing collides. Later draws of names,
+mail domains and what stands before them are longer, so that short ones do not run out. Draws after the first are few, as there are
+some hundred million names; up to ``REDRAWN_BYTES`` of them go into the plan as a map, and texts are rewritten where they
+lie. Beyond, texts meet theirs by a join.
 
 A null text stays null. Text around entities does not change.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelake.llm.shared import stored
 
 KEY = "ridelake-surrogates-1"
+REDRAWN_BYTES = 64 * 1024
 
 # Own tables. The lists of a script have the same meaning in the same order of genders.
 TITLES = {
@@ -44,10 +50,13 @@ GIVEN = {
     ("m", "cyrillic"): ["Иван", "Пётр", "Сергей", "Алексей", "Дмитрий", "Николай", "Андрей"],
     ("f", "cyrillic"): ["Анна", "Мария", "Елена", "Ольга", "Ирина", "Наталья", "Светлана"],
 }
+# Beginnings, vowels and ends of syllables; three syllables give 480 cubed and 700 cubed names.
 SYLLABLES = {
-    "latin": ["bar", "cot", "den", "fal", "gor", "hal", "kes", "lam", "mon", "nor", "pel", "rad", "sol", "tam", "ver", "wen"],
-    "cyrillic": ["бар", "вол", "гор", "дан", "ков", "лам", "мор", "нов", "пол", "рад", "сав", "тар", "фед", "хар", "чер", "яр"],
+    "latin": ["b c d f g h k l m n p r s t v w", "a e i o u", "l m n r s t"],
+    "cyrillic": ["б в г д з к л м н п р с т ф", "а е и о у", "в к л м н п р с т х"],
 }
+# Country codes of one and two digits; all others have three.
+COUNTRY_CODE = r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 
 _NAME = r"\p{Lu}[\p{L}'’-]+"
 _ANY_TITLE = "|".join(t for titles in TITLES.values() for t in titles)
@@ -115,22 +124,42 @@ def _check_digit(digits: Column) -> Column:
     return ((10 - total % 10) % 10).cast("string")
 
 
+def _mod97(text: Column) -> Column:
+    """Remainder of digits and capitals (A is 10) by 97."""
+    def step(rest: Column, i: Column) -> Column:
+        c = text.substr(i, F.lit(1))
+        return F.when(c.rlike("[0-9]"), (rest * 10 + F.ascii(c) - 48) % 97).otherwise((rest * 100 + F.ascii(c) - 55) % 97)
+    return F.aggregate(F.sequence(F.lit(1), F.length(text)), F.lit(0), step)
+
+
+def _longer(drawn: Column, h: Column, attempt: Column) -> Column:
+    letters = F.transform(F.sequence(F.lit(1), attempt), lambda i: F.lit(_CASES["lower"]).substr(
+        _number(h, i + 40) % 26 + 1, F.lit(1)))
+    return F.when(attempt == 0, drawn).otherwise(F.concat(drawn, F.array_join(letters, "")))
+
+
 def canonical(kind: Column, entity: Column) -> Column:
     """What an entity says. Persons are taken apart before (see ``units``)."""
     digits = F.regexp_replace(entity, "[^0-9]", "")
     return F.when(kind == "email", F.lower(entity)).when(
         kind == "iban", F.regexp_replace(entity, " ", "")).when(
-        kind.isin("card", "ssn", "phone"), digits).otherwise(entity)
+        kind.isin("card", "ssn"), digits).when(
+        kind == "phone", F.concat(F.when(entity.startswith("+"), F.lit("+")).otherwise(F.lit("")), digits)).otherwise(entity)
 
 
 def surrogate(kind: Column, said: Column, attempt: Column, key: str) -> Column:
     """The canonical surrogate of a canonical unit."""
     def drawn(h: Column) -> Column:
         local, domain = F.split_part(said, F.lit("@"), F.lit(1)), F.split_part(said, F.lit("@"), F.lit(2))
-        host, top = F.regexp_extract(domain, r"^(.*)\.([a-z]+)$", 1), F.regexp_extract(domain, r"^(.*)\.([a-z]+)$", 2)
-        hosts = _bound(_digest(key, "domain", domain), lambda d: _classwise(host, d))
-        email = F.concat(_classwise(local, h), F.lit("@"), hosts, F.lit("."), top)
-        iban = F.concat(said.substr(F.lit(1), F.lit(2)), _classwise(said.substr(F.lit(3), F.length(said)), h))
+        host, top = F.regexp_extract(said, r"^(.*)\.([a-z]+)$", 1), F.regexp_extract(said, r"^(.*)\.([a-z]+)$", 2)
+        # Domains are drawn for themselves, distinctly; so addresses need be distinct within theirs only.
+        email = F.concat(_longer(_classwise(local, h), h, attempt), F.lit("@"), domain)
+        hosts = F.concat(_longer(_classwise(host, h), h, attempt), F.lit("."), top)
+        country, account = said.substr(F.lit(1), F.lit(2)), said.substr(F.lit(5), F.length(said))
+        checked = _mod97(F.concat(account, said.substr(F.lit(1), F.lit(4)))) == 1
+        iban = _bound(_classwise(account, h), lambda new: F.concat(country, F.when(checked, F.lpad(
+            (98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")).otherwise(
+            _classwise(said.substr(F.lit(3), F.lit(2)), h)), new))
         octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_number(h, i * 2) % 254 + 1).cast("string")), ".")
         body = F.concat(said.substr(F.lit(1), F.lit(1)), _classwise(said.substr(F.lit(2), F.length(said) - 2), h))
         valid = _check_digit(said.substr(F.lit(1), F.length(said) - 1)) == said.substr(F.length(said), F.lit(1))
@@ -140,20 +169,23 @@ def surrogate(kind: Column, said: Column, attempt: Column, key: str) -> Column:
         ssn = F.concat(F.lpad((_number(h, 0) % 665 + 1).cast("string"), 3, "0"),
                        F.lpad((_number(h, 2) % 99 + 1).cast("string"), 2, "0"),
                        F.lpad((_number(h, 4) % 9999 + 1).cast("string"), 4, "0"))
-        # Up to three leading digits are a country code or area; of those only the first stays.
-        phone = F.concat(said.substr(F.lit(1), F.lit(1)), _classwise(said.substr(F.lit(2), F.length(said)), h))
-        return (F.when(kind == "email", email).when(kind == "iban", iban).when(kind == "ip", octets)
+        stays = F.when(said.startswith("+"), F.concat(F.lit("+"), F.regexp_extract(said, COUNTRY_CODE, 1))).otherwise(
+            said.substr(F.lit(1), F.lit(1)))
+        phone = F.concat(stays, _classwise(said.substr(F.length(stays) + 1, F.length(said)), h))
+        return (F.when(kind == "email", email).when(kind == "host", hosts).when(kind == "iban", iban).when(kind == "ip", octets)
                 .when(kind == "card", card).when(kind == "ssn", ssn).when(kind == "phone", phone)
                 .otherwise(_family(kind, h, attempt)))
     return _bound(_digest(key, kind, attempt.cast("string"), said), drawn)
 
 
 def _family(kind: Column, h: Column, attempt: Column) -> Column:
-    """Three syllables, and one more for every further draw. Kinds are family_<gender>_<script>."""
+    """Three syllables, and one more for every further draw, in lower case. Kinds are family_<gender>_<script>."""
     def of(script: str) -> Column:
-        table = F.array(*[F.lit(s) for s in SYLLABLES[script]])
-        return F.initcap(F.array_join(F.transform(
-            F.sequence(F.lit(0), attempt + 2), lambda i: F.element_at(table, _number(h, i * 2) % 16 + 1)), ""))
+        def sound(i: Column, at: int) -> Column:
+            letters = SYLLABLES[script][at].split()
+            return F.element_at(F.array(*[F.lit(x) for x in letters]), _number(h, i * 6 + 2 * at) % len(letters) + 1)
+        return F.array_join(F.transform(F.sequence(F.lit(0), attempt + 2), lambda i: F.concat(
+            sound(i, 0), sound(i, 1), sound(i, 2))), "")
     return F.when(kind.endswith("latin"), of("latin")).when(
         kind == "family_f_cyrillic", F.concat(of("cyrillic"), F.lit("ова"))).otherwise(
         F.concat(of("cyrillic"), F.lit("ов")))
@@ -196,11 +228,15 @@ def units(entity: Column) -> Column:
     """Array of (kind, said): an entity's parts that need a surrogate; a person's are its family names."""
     def of(kind: Column) -> Column:
         names = F.filter(F.split(entity, " "), lambda w: ~w.isin(_all_titles() + _all_given()))
-        family = F.transform(names, lambda w: F.struct(
+        parts = F.filter(F.flatten(F.transform(names, lambda w: F.split(w, "-"))), lambda w: F.length(w) > 0)
+        family = F.transform(parts, lambda w: F.struct(
             F.concat(F.lit("family_"), F.when(_script(w) == "cyrillic", F.when(
                 _gender(entity) == "f", F.lit("f")).otherwise(F.lit("m"))).otherwise(F.lit("n")),
-                F.lit("_"), _script(w)).alias("kind"), w.alias("said")))
-        return F.when(kind == "person", family).otherwise(
+                F.lit("_"), _script(w)).alias("kind"), F.lower(w).alias("said")))
+        mail = F.lower(entity)
+        addresses = F.array(F.struct(F.lit("email").alias("kind"), mail.alias("said")), F.struct(
+            F.lit("host").alias("kind"), F.split_part(mail, F.lit("@"), F.lit(2)).alias("said")))
+        return F.when(kind == "person", family).when(kind == "email", addresses).otherwise(
             F.array(F.struct(kind.alias("kind"), canonical(kind, entity).alias("said"))))
     return _bound(kind_of(entity), of)
 
@@ -216,6 +252,7 @@ def _written(entity: Column, kind: Column, new: Column) -> Column:
                 F.concat(done["out"], F.when(taken, new.substr(done["at"], F.lit(1))).otherwise(c)).alias("out"),
                 F.when(taken, done["at"] + 1).otherwise(done["at"]).alias("at"))
         return F.aggregate(F.sequence(F.lit(1), F.length(entity)), start, step, lambda done: done["out"])
+    new = F.when(kind == "phone", F.ltrim(new, F.lit("+"))).otherwise(new)
     return F.when(kind.isin("card", "ssn", "phone"), spread("[0-9]")).when(
         kind == "iban", spread("[A-Z0-9]")).otherwise(new)
 
@@ -232,12 +269,23 @@ def replacement(entity: Column, attempts: Column | None, key: str) -> Column:
                       lambda new: _written(entity, unit["kind"], new))
 
     def of(parts: Column) -> Column:
-        plain = F.transform(parts, one)[0]
-        words = F.split(entity, " ")
-        person = F.array_join(F.transform(words, lambda w: F.when(w.isin(_all_titles()), w).when(
+        return _bound(F.transform(parts, one), lambda new: put_together(parts, new))
+
+    def put_together(parts: Column, new: Column) -> Column:
+        kind = F.get(parts, F.lit(0))["kind"]
+        mail = F.concat(F.split_part(F.get(new, F.lit(0)), F.lit("@"), F.lit(1)), F.lit("@"), F.get(new, F.lit(1)))
+        said = F.transform(parts, lambda p: p["said"])
+
+        def family(word: Column) -> Column:
+            """The surrogate of a family name, in its capitals."""
+            drawn = F.get(new, F.array_position(said, F.lower(word)).cast("int") - 1)
+            return F.when(F.length(word) == 0, word).when(
+                (F.upper(word) == word) & (F.length(word) > 1), F.upper(drawn)).otherwise(F.initcap(drawn))
+        person = F.array_join(F.transform(F.split(entity, " "), lambda w: F.when(w.isin(_all_titles()), w).when(
             w.isin(_all_given()), _shifted_given(w, key)).otherwise(
-            F.transform(F.filter(parts, lambda p: p["said"] == w), one)[0])), " ")
-        return F.when((F.size(parts) > 0) & ~parts[0]["kind"].startswith("family_"), plain).otherwise(person)
+            F.array_join(F.transform(F.split(w, "-"), family), "-"))), " ")
+        return F.when(kind == "email", mail).when(
+            kind.isNotNull() & ~kind.startswith("family_"), F.get(new, F.lit(0))).otherwise(person)
     return _bound(units(entity), of)
 
 
@@ -281,8 +329,11 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     rows = docs.select("doc_id", "text").withColumn("found", entities(F.col("text")))
     counts = [F.size(F.filter(F.coalesce(F.transform("found", kind_of), F.array().cast("array<string>")), lambda k: k == kind)
                      ).cast("long").alias(f"n_{kind}") for kind in PATTERNS]
-    if again.isEmpty():
-        return rows.select("doc_id", _rewrite(F.col("text"), F.col("found"), None, key).alias("text"), *counts)
+    size = again.agg(F.sum(F.octet_length("said") + F.octet_length("kind") + 12)).first()[0] or 0
+    if size <= REDRAWN_BYTES:
+        draws = {f"{row['kind']}|{row['said']}": row["attempt"] for row in again.collect()}
+        attempts = F.from_json(F.lit(json.dumps(draws)), "map<string,int>") if draws else None
+        return rows.select("doc_id", _rewrite(F.col("text"), F.col("found"), attempts, key).alias("text"), *counts)
     # Only texts with an entity that drew again need the table; they meet it by digest, equal texts once.
     keyed = rows.withColumn("text_key", F.when(F.size("found") > 0, F.sha2("text", 256)))
     used = keyed.where("text_key IS NOT NULL").select("text_key", "found").dropDuplicates(["text_key"]).select(

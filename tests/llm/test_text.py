@@ -111,7 +111,8 @@ def test_surrogates(docs, awkward):
     assert pii.pseudonymise(awkward.limit(0)).count() == 0
 
 
-def test_colliding_surrogates_draw_again(spark, docs, monkeypatch):
+@pytest.mark.parametrize("most", [pii.REDRAWN_BYTES, 0])
+def test_colliding_surrogates_draw_again(spark, docs, monkeypatch, most):
     """With addresses that can take six values only, six addresses still get six surrogates."""
     from pyspark.sql import functions as F
     original = pii.surrogate
@@ -122,12 +123,41 @@ def test_colliding_surrogates_draw_again(spark, docs, monkeypatch):
             original(kind, said, attempt, key))
 
     monkeypatch.setattr(pii, "surrogate", narrow)
+    monkeypatch.setattr(pii, "REDRAWN_BYTES", most)
     out = pii.pseudonymise(docs(*[(i, f"at 10.0.0.{i % 6} and 10.0.0.{i % 6}") for i in range(12)])).collect()
     new = {r.doc_id: r.text.split()[1] for r in out}
     assert len(set(new.values())) == 6 and all(new[i] == new[i + 6] for i in range(6))
     assert all(r.text.split()[1] == r.text.split()[3] for r in out)
 
 
+def test_surrogates_are_one_to_one_and_keep_their_form(docs):
+    """Generated entities, each on a line: a one-to-one map by what they say, never onto one of the corpus."""
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    hosts = [f"{c}.com" for c in letters[:20]] + ["mail.example.org", "example.org"]
+    mails = [f"{c}@{h}" for h in hosts for c in letters[:6]]
+    families = ["".join(rng.choices(letters, k=6)).capitalize() for _ in range(300)]
+    phones = [f"+{code} {rng.randrange(10**8, 10**9)}" for code in (1, 7, 20, 49, 44, 353, 972) for _ in range(5)]
+
+    def iban(country, account):
+        rest = int("".join(str(int(c, 36)) for c in f"{account}{country}00")) % 97
+        return f"{country}{98 - rest:02d}{account}"
+    ibans = [iban("DE", f"{rng.randrange(10**17, 10**18)}") for _ in range(20)] + [iban("GB", "WEST12345698765432")]
+    lines = [*mails, *(f"Mr {x}" for x in families), *phones, *ibans]
+    new = pii.pseudonymise(docs((1, "\n".join(lines)), (2, "Mr SMITH\nMrs Smith-Jones\nMr Jones"))).orderBy("doc_id").collect()
+    of = dict(zip(lines, new[0].text.split("\n")))
+    assert len(set(of.values())) == len(lines) and not set(of.values()) & set(lines)
+    domains = {m.split("@")[1]: of[m].split("@")[1] for m in mails}
+    assert all(of[m].endswith("@" + domains[m.split("@")[1]]) for m in mails)
+    assert len(set(domains.values())) == len(hosts) and not set(domains.values()) & set(hosts)
+    assert all(of[p].split()[0] == p.split()[0] and re.fullmatch(r"\+\d+ \d{9}", of[p]) for p in phones)
+    for old in ibans:
+        moved = of[old][4:] + of[old][:4]
+        assert of[old][:2] == old[:2] and int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
+    smith, both, jones = (line.split()[1] for line in new[1].text.split("\n"))
+    assert smith.isupper() and both == f"{smith.capitalize()}-{jones}" and jones.istitle()
+
+
 def test_edit_search_equals_table():
     draw = random.Random(1)
     for _ in range(500):
