@@ -57,7 +57,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return toxicity.scored(docs, toxicity.train(docs, labels(spark, sf_dir)))
+    return toxicity.train_and_score(docs, labels(spark, sf_dir))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,9 +14,9 @@ number at any size of the corpus. There is no other limit.
 *Counting.* All positives are counted first. A stem that enough of them have is a candidate unless its evidence is out of
 reach: the bound falls with the number of unlabelled documents, and a random pilot of about ``PILOT`` documents tells at least
 how many these are, by six standard deviations (a stem is passed over wrongly once in a thousand millions). That takes
-out the common words. All training documents are read once and leave the numbers of the candidates that they show; of these
-the candidates are counted exactly, each task adding up an array of one number for each. What then has evidence is final;
-the folds and the fit work on the numbers of these few stems.
+out the common words. All documents are read once and leave the numbers of the candidates that they show; of those of the
+training documents the candidates are counted exactly, each task adding up an array of one number for each. What then has evidence is final;
+the folds, the fit and the scores work on the numbers of these few stems.
 
 *Classifier.* Linear over a few numbers of a text: how many of its stems have how much evidence, and the largest.
 Its training documents were counted as well, so each gets the evidence counted in the other ``FOLDS - 1`` folds. The risk
@@ -27,7 +27,7 @@ Positives are documents marked toxic outside the held-out fifth; unlabelled are
 not. The prior is the share of toxic marks among all marks of the training fold unless it is given. Scoring covers every
 whole text. Null and empty texts show nothing. Rows that share an id share its mark, each a document of its own; an
 id marked several times is toxic if any mark says so. Null ids are never positive. Without positives, or with empty
-tables, all scores are 0. Extra columns are ignored.
+tables, all scores are 0 (less than 1e-200). Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pandas as pd
@@ -62,34 +64,79 @@ CELLS = COUNT_CLASSES ** len(LEVELS) * WORD_CLASSES
 # Counts of so many candidates go in one row; tasks' rows are first added up in so many parts.
 BLOCK, PARTS = 4096, 64
 STEPS, RATE, DECAY = 800, 0.05, 3e-3
+# What a beginning of a word is if it is not itself a known stem.
+ON_THE_WAY, UNKNOWN = -1, -2
+# What goes with the numbers of a document's stems.
+ROW = ("doc_id", "held_out", "fold")
 
 
 class Stems(dict):
-    """What a word shows, of what is in ``known`` if that is given. Remembers words."""
+    """What a word shows. Remembers words."""
 
     LIMIT = 100_000
 
-    def __init__(self, known=None):
-        super().__init__()
-        self.known = known
-        # Words that begin like no known stem are passed over at once.
-        self.roots = None if known is None else {stem[1:4] if stem[0] == "=" else stem[:3] for stem in known}
-
     def __missing__(self, word: str) -> tuple:
         if len(self) >= self.LIMIT:
             self.clear()
-        found = [f"={word}", *(word[:k] for k in STEMS if k <= len(word))]
-        kept = self[word] = tuple(found if self.known is None else [self.known[x] for x in found if x in self.known])
-        return kept
+        found = self[word] = (f"={word}", *(word[:k] for k in STEMS if k <= len(word)))
+        return found
 
     def of(self, words) -> set:
         found: set = set()
-        roots = self.roots
-        for word in words if roots is None else [w for w in words if w[:3] in roots]:
+        for word in words:
             found.update(self[word])
         return found
 
 
+class Known:
+    """Which of some stems texts show, by their numbers. Each word of a batch of texts is looked up once, and no
+    further than known stems begin like it; the texts' numbers are then put together in arrays."""
+
+    def __init__(self, stems: list[str]):
+        self.size = len(stems)
+        self.words, self.starts = {}, {}
+        for number, stem in enumerate(stems):
+            if stem[0] == "=":
+                self.words[stem[1:]] = number
+                continue
+            for k in range(STEMS[0], len(stem)):
+                self.starts.setdefault(stem[:k], ON_THE_WAY)
+            self.starts[stem] = number
+
+    def of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the words that show a stem, and its number: a pair for each."""
+        def pairs(numbers: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return place[numbers >= 0], numbers[numbers >= 0]
+
+        place = np.arange(len(words))
+        found = [pairs(np.fromiter(map(self.words.get, words, repeat(UNKNOWN)), np.int64, len(words)), place)]
+        for k in STEMS:
+            starts = [word[:k] for word in words]
+            numbers = np.fromiter(map(self.starts.get, starts, repeat(UNKNOWN)), np.int64, len(words))
+            found.append(pairs(numbers, place))
+            on = [number != UNKNOWN and len(word) > k for number, word in zip(numbers.tolist(), words)]
+            words, place = list(compress(words, on)), place[on]
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def of(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each text its number of different words, and where its stems' numbers start in the third array."""
+        said = [set(tokens(text)) for text in texts]
+        n_words = np.fromiter(map(len, said), np.int64, len(said))
+        words = list(set().union(*said))
+        code = dict(zip(words, range(len(words))))
+        word = np.fromiter(map(code.__getitem__, chain.from_iterable(said)), np.int64, n_words.sum())
+        owner = np.repeat(np.arange(len(said)), n_words)
+        place, numbers = self.of_words(words)
+        numbers = numbers[np.argsort(place, kind="stable")]
+        sizes = np.bincount(place, minlength=len(words))
+        some = sizes[word] > 0
+        word, owner = word[some], owner[some]
+        many = sizes[word]
+        at = np.repeat((np.cumsum(sizes) - sizes)[word] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        owner, numbers = np.divmod(np.unique(np.repeat(owner, many) * self.size + numbers[at]), max(self.size, 1))
+        return n_words, np.searchsorted(owner, np.arange(len(said) + 1)), numbers
+
+
 def evidence(p, u, n_positive, n_unlabelled, prior: float):
     """Lower bound of the chance that a document with a stem is toxic."""
     p, u = np.asarray(p, float), np.asarray(u, float)
@@ -127,15 +174,20 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def score(self, texts) -> list[float]:
-        stems, rows = Stems({stem: i for i, stem in enumerate(self.known)}), []
+    @cached_property
+    def stems(self) -> Known:
+        return Known(list(self.known))
+
+    def score(self, texts) -> np.ndarray:
+        return self.score_numbers(*self.stems.of(list(texts)))
+
+    def score_numbers(self, n_words: np.ndarray, starts: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """Scores of texts by what ``Known.of`` says of them."""
         worth = np.array(list(self.known.values()), float)
-        for text in texts:
-            words = set(tokens(text))
-            found = stems.of(words)
-            rows.append(measures(worth[np.fromiter(found, np.int64, len(found))], len(words)) if found else NO_MEASURES)
+        rows = [measures(worth[numbers[low:high]], n) if low < high else NO_MEASURES
+                for n, low, high in zip(n_words.tolist(), starts.tolist(), starts[1:].tolist())]
         x = (np.array(rows).reshape(-1, N_MEASURES) - self.centre) / self.scale
-        return (1 / (1 + np.exp(-np.clip(x @ self.weights + self.bias, -500, 500)))).tolist()
+        return 1 / (1 + np.exp(-np.clip(x @ self.weights + self.bias, -500, 500)))
 
 
 NO_MEASURES = np.zeros(N_MEASURES)
@@ -168,16 +220,12 @@ def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _shown(sent):
     """The numbers of the candidates that each document shows, and its number of different words."""
     def shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stems = Stems(sent.value)
+        stems = Known(sent.value)
         for batch in batches:
-            words, ids = [], []
-            for text in batch.column("text").to_pylist():
-                said = set(tokens(text))
-                words.append(len(said))
-                ids.append(list(stems.of(said)))
+            n_words, starts, numbers = stems.of(batch.column("text").to_pylist())
+            ids = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(numbers, pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("fold"), pa.array(words, pa.int32()), pa.array(ids, pa.list_(pa.int32()))],
-                ["doc_id", "fold", "words", "ids"])
+                [*[batch.column(c) for c in ROW], pa.array(n_words, pa.int32()), ids], [*ROW, "words", "ids"])
     return shown
 
 
@@ -287,39 +335,45 @@ def _renumbered(kept: list[int], size: int):
             starts = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
             before = np.concatenate([[0], np.cumsum(new >= 0)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(before[starts.astype(np.int64)]), pa.array(new[new >= 0]))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", "fold", "words")], ids],
-                                             ["doc_id", "fold", "words", "ids"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in (*ROW, "words")], ids], [*ROW, "words", "ids"])
     return renumbered
 
 
 def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Model:
+    return _learnt(docs.where(~held_out()), labels, prior)[0]
+
+
+def _learnt(docs: DataFrame, labels: DataFrame, prior: float | None) -> tuple[Model, DataFrame | None]:
+    """The model, and by number which of its stems each row of ``docs`` shows, held out or not (none without a model)."""
     spark = docs.sparkSession
     python_tasks(spark)
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out())
     marks, toxic = usable.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not toxic:
-        return NOTHING_KNOWN
+        return NOTHING_KNOWN, None
     prior = toxic / marks if prior is None else prior
     usable = stored(usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "toxicity-marks")
-    docs = docs.select("doc_id", "text").where(~held_out())
+    docs = docs.select("doc_id", "text")
+    training = docs.where(~held_out())
     marked = usable.where("toxic = 1").select("doc_id", F.lit(1).alias("side"))
-    n_u, n_p = docs.count(), docs.select("doc_id").join(marked, "doc_id").count()
+    n_u, n_p = training.count(), training.select("doc_id").join(marked, "doc_id").count()
     if not n_p:
-        return NOTHING_KNOWN
-    found = candidates(docs, marked.select("doc_id"), prior, n_p, n_u)
+        return NOTHING_KNOWN, None
+    found = candidates(training, marked.select("doc_id"), prior, n_p, n_u)
     if not found:
-        return NOTHING_KNOWN
+        return NOTHING_KNOWN, None
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold")
-    shown = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fold int, words int, ids array<int>"
-    sent = spark.sparkContext.broadcast({stem: i for i, (stem, _) in enumerate(found)})
-    numbers = stored(docs.select("doc_id", fold, "text").mapInArrow(_shown(sent), shown), "toxicity-numbers")
-    kept = with_evidence(numbers, found, prior, n_p, n_u)
+    shown = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, fold int, words int,"
+             " ids array<int>")
+    sent = spark.sparkContext.broadcast([stem for stem, _ in found])
+    numbers = stored(docs.select("doc_id", held_out().alias("held_out"), fold, "text").mapInArrow(_shown(sent), shown), "toxicity-numbers")
+    kept = with_evidence(numbers.where("NOT held_out"), found, prior, n_p, n_u)
     if not kept:
-        return NOTHING_KNOWN
+        return NOTHING_KNOWN, None
     stems = [found[i][0] for i in kept]
     numbers = stored(numbers.mapInArrow(_renumbered(kept, len(found)), shown), "toxicity-evidence")
     marked = F.broadcast(marked) if toxic <= MAX_BROADCAST else marked
-    rows = numbers.join(marked, "doc_id", "left").select(
+    rows = numbers.where("NOT held_out").join(marked, "doc_id", "left").select(
         F.coalesce("side", F.lit(0)).alias("side"), "fold", "words", "ids")
     n, counts = np.zeros((FOLDS, 2)), np.zeros((len(stems), FOLDS, 2))
     for row in rows.groupBy("fold", "side").count().collect():
@@ -330,12 +384,9 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
         c[..., 0] += c[..., 1]
     total, every = counts.sum(axis=1), n.sum(axis=0)
     known = evidence(total[:, 1], total[:, 0], every[1], every[0], prior)
-    kept = known >= LEAST_EVIDENCE
-    if not kept.any():
-        return NOTHING_KNOWN
     others = np.array([evidence(
         *(total - counts[:, k])[:, ::-1].T, max(every[1] - n[k, 1], 1), max(every[0] - n[k, 0], 1), prior)
-        for k in range(FOLDS)]) * kept
+        for k in range(FOLDS)])
 
     cells = rows.where(F.size("ids") > 0).mapInArrow(_in_cells(others), "side int, cell int, x array<double>")
     parts = [F.sum(F.col("x")[i]).alias(f"x{i}") for i in range(N_MEASURES + 1)]
@@ -349,7 +400,7 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
     centre = n_u @ x_u / n_u.sum()
     scale = np.sqrt(n_u @ (x_u - centre) ** 2 / n_u.sum()) + 1e-3
     weights, bias = fit((x_p - centre) / scale, (x_u - centre) / scale, prior, n_p, n_u)
-    return Model({stem: float(known[i]) for i, stem in enumerate(stems) if kept[i]}, centre, scale, weights, bias)
+    return Model(dict(zip(stems, known.tolist())), centre, scale, weights, bias), numbers
 
 
 def scorer(model: Model):
@@ -360,8 +411,34 @@ def scorer(model: Model):
     return score
 
 
+def _scored_numbers(model: Model):
+    def scored_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("ids")
+            starts = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+            score = model.score_numbers(
+                batch.column("words").to_numpy(), starts, ids.flatten().to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(score, pa.float64())],
+                ["doc_id", "held_out", "score"])
+    return scored_numbers
+
+
+def _judged(scores: DataFrame) -> DataFrame:
+    return scores.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score and predicted for every row."""
     python_tasks(docs.sparkSession)
-    score = docs.select("doc_id", held_out().alias("held_out"), scorer(model)("text").alias("score"))
-    return score.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return _judged(docs.select("doc_id", held_out().alias("held_out"), scorer(model)("text").alias("score")))
+
+
+def train_and_score(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> DataFrame:
+    """``scored(docs, train(docs, labels))`` without reading the texts again: held-out documents leave the numbers of
+    their stems when those to learn from do, and their scores come from these. Nothing is learnt from them."""
+    model, numbers = _learnt(docs, labels, prior)
+    if numbers is None:
+        return scored(docs, model)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return _judged(numbers.mapInArrow(_scored_numbers(model), f"doc_id {kind}, held_out boolean, score double"))

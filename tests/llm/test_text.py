@@ -323,6 +323,40 @@ def test_classifiers_awkward(spark, awkward, module):
     assert module.scored(awkward.limit(0), module.train(awkward.limit(0), none)).count() == 0
 
 
+def test_scores_without_reading_the_texts_again(docs, spark):
+    """Scores from the numbers of stems equal those from the texts, row by row and held out or not; nulls included."""
+    draw = random.Random(5)
+    words = ["zorgo", "zorgos", "milky", "kanto", "éonelle", "x", "ab"]
+    rows = [(i % 700, " ".join(draw.choices(words, k=5) + (["venom", "venomous"] if i % 7 == 0 else []))) for i in range(800)]
+    frame = docs(*rows, (None, "venom venomous"), (5000, None), (5001, ""), extra=True)
+    labels = spark.createDataFrame([(i, None, int(i % 7 == 0)) for i in range(0, 700, 2)], "doc_id long, quality int, toxic int")
+    once = toxicity.train_and_score(frame, labels)
+    twice = toxicity.scored(frame, toxicity.train(frame, labels))
+    assert once.schema.simpleString() == twice.schema.simpleString()
+
+    def sorted_rows(df):
+        return sorted((r.doc_id is None, r.doc_id or 0, r.held_out, r.predicted, round(r.score, 9)) for r in df.collect())
+    assert sorted_rows(once) == sorted_rows(twice)
+    assert 0 < sum(r.predicted for r in once.collect()) < 200
+    assert toxicity.train_and_score(frame.limit(0), labels).count() == 0
+    assert all(r.score < 1e-100 for r in toxicity.train_and_score(frame, labels.limit(0)).collect())
+
+
+def test_known_stems_of_texts():
+    """What a batch of texts shows, against looking up every prefix of every word."""
+    draw = random.Random(6)
+    stems = sorted({"".join(draw.choices("abé", k=draw.randint(3, 9))) for _ in range(60)} | {"=ab", "=abab", "=é", "abb"})
+    texts = [" ".join("".join(draw.choices("abé", k=draw.randint(1, 12))) for _ in range(draw.randint(0, 40))) for _ in range(50)]
+    known = toxicity.Known(stems)
+    for batch in (texts + [None, ""], [], [None]):
+        n_words, starts, numbers = known.of(batch)
+        for i, text in enumerate(batch):
+            said = set(toxicity.tokens(text))
+            shown = {x for word in said for x in [f"={word}", *(word[:k] for k in toxicity.STEMS if k <= len(word))]}
+            assert n_words[i] == len(said)
+            assert [stems[k] for k in numbers[starts[i]:starts[i + 1]]] == sorted(shown & set(stems))
+
+
 def test_stems_are_counted_in_all_documents(docs, monkeypatch):
     """A word of one toxic document in ten has evidence, however small the pilot."""
     monkeypatch.setattr(toxicity, "PILOT", 100)
