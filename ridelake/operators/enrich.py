@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ridelake.functions import trip
-from ridelake.schema import DERIVED_COLUMNS, FACT_COLUMNS
+from ridelake.schema import DERIVED_COLUMNS, FACT_COLUMNS, FACT_PARTITION
 
 
 def _add(df: DataFrame, *names: str) -> DataFrame:
@@ -49,5 +49,14 @@ def enrich_trips(clean: DataFrame) -> DataFrame:
     return _add(clean, *DERIVED_COLUMNS)
 
 
+def enrich_by_date(clean: DataFrame) -> DataFrame:
+    """All derived columns of trips that are brought together by date, for a write partitioned by it.
+
+    The rebalance comes first, so what is shuffled are the raw columns that the plan needs, and the wider derived ones
+    never are. AQE splits large dates over tasks and merges small ones.
+    """
+    return enrich_trips(_add(clean, FACT_PARTITION).hint("rebalance", FACT_PARTITION))
+
+
 def to_facts(enriched: DataFrame) -> DataFrame:
     return enriched.select(*FACT_COLUMNS)

@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.operators.clean import clean_trips, passes_rules
-from ridelake.operators.enrich import enrich_trips, to_facts
+from ridelake.operators.enrich import enrich_by_date, to_facts
 from ridelake.operators.marts import GRAIN, build_marts, merge_rollup, rollup_trips
 from ridelake.schema import FACT_PARTITION, FACT_TABLE
 from ridelake.session import input_bytes, pin_utc, sized_for, work_table
-from ridelake.sinks.parquet import spread, write_marts
+from ridelake.sinks.parquet import write_marts
 from ridelake.sources.files import SOURCE_FILE, existing
 from ridelake.sources.landing import MOST_NAMED, VERSION, last_commit, manifest, read_lake, try_commit
 
@@ -138,7 +138,8 @@ def _recompute(spark: SparkSession, lake: str, whole: DataFrame, touched: DataFr
         _drop_dates(spark, table, done.removed)
     if kept:
         with sized_for(spark, input_bytes(trips)):
-            _replace(spread(to_facts(enrich_trips(clean_trips(trips))), FACT_PARTITION, "PULocationID"), facts_path)
+            facts = to_facts(enrich_by_date(clean_trips(trips)))
+            _replace(facts.sortWithinPartitions(FACT_PARTITION, "PULocationID"), facts_path)
         facts = spark.read.parquet(facts_path)
         if len(kept) <= MOST_NAMED:  # then the folders of other dates are not even listed as tasks
             facts = facts.where(F.col(FACT_PARTITION).isin(sorted(kept)))

@@ -13,12 +13,12 @@ from pyspark.errors import AnalysisException, PySparkException as SparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from ridelake.operators.clean import clean_trips
-from ridelake.operators.enrich import enrich_trips, to_facts
+from ridelake.operators.enrich import enrich_by_date, to_facts
 from ridelake.operators.marts import build_marts, rollup_trips
 from ridelake.operators.star import to_dim_zones, to_fact_trips
 from ridelake.schema import FACT_PARTITION, FACT_TABLE
 from ridelake.session import discard, input_bytes, pin_utc, sized_for, work_path, work_table
-from ridelake.sinks.parquet import spread, write_facts, write_marts
+from ridelake.sinks.parquet import write_facts, write_marts
 from ridelake.sinks.warehouse import load_dim_zones, load_fact_trips, load_tables, new_version
 from ridelake.sources.files import expected_files, missing_files
 from ridelake.sources.landing import land_raw, read_lake
@@ -56,16 +56,16 @@ def transform(
     staged = work_path(spark, "enriched") if keep_enriched else None
     try:
         with sized_for(spark, input_bytes(raw)):
-            enriched = enrich_trips(clean_trips(raw))
+            enriched = enrich_by_date(clean_trips(raw))
             facts_path = f"{out}/{FACT_TABLE}"
             if staged:
-                (spread(enriched, FACT_PARTITION, "PULocationID").write.partitionBy(FACT_PARTITION)
+                (enriched.sortWithinPartitions(FACT_PARTITION, "PULocationID").write.partitionBy(FACT_PARTITION)
                  .parquet(staged))
                 # Staged files already hold one date each: no second shuffle to write the facts.
                 (to_facts(read_partitioned(spark, staged)).write.mode("overwrite")
                  .option("partitionOverwriteMode", "static").partitionBy(FACT_PARTITION).parquet(facts_path))
             else:
-                write_facts(to_facts(enriched), facts_path)
+                write_facts(to_facts(enriched), facts_path, laid_out=True)
             with work_table(rollup_trips(read_partitioned(spark, facts_path)), "rollup") as rollup:
                 paths = write_marts(build_marts(rollup), out)
             return {FACT_TABLE: facts_path, **paths}, staged

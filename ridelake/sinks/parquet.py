@@ -30,9 +30,12 @@ def spread(df: DataFrame, partition: str, *cluster: str | Column) -> DataFrame:
     return df.hint("rebalance", partition).sortWithinPartitions(partition, *cluster)
 
 
-def write_facts(facts: DataFrame, path: str) -> None:
-    """Replace the fact table, partitioned by trip date and clustered by pickup zone."""
-    (spread(facts, FACT_PARTITION, "PULocationID").write.mode("overwrite")
+def write_facts(facts: DataFrame, path: str, laid_out: bool = False) -> None:
+    """Replace the fact table, partitioned by trip date and clustered by pickup zone. Rows that are ``laid_out`` by date
+    already are sorted within tasks and not shuffled."""
+    rows = facts.sortWithinPartitions(FACT_PARTITION, "PULocationID") if laid_out else spread(
+        facts, FACT_PARTITION, "PULocationID")
+    (rows.write.mode("overwrite")
      .option("partitionOverwriteMode", "static").partitionBy(FACT_PARTITION).parquet(path))
 
 

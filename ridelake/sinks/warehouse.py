@@ -68,7 +68,8 @@ def load_fact_trips(fact_trips: DataFrame, db: str, laid_out: bool = False) -> i
     """Replace the rows of the table; returns how many it then has.
 
     Required columns are enforced in the same pass, and both zones cluster the rows of a date. Rows that are
-    ``laid_out`` come from files that hold one date each: they are sorted within tasks and not shuffled.
+    ``laid_out`` come from files that hold one date each, or from a rebalance by date: they are sorted within tasks and
+    not shuffled.
     """
     spark = fact_trips.sparkSession
     create_fact_trips(spark, db)

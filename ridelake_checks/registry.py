@@ -121,7 +121,7 @@ def facts_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts after a partitioned write and a read that recovers the date from the paths."""
     path = loads.place(spark, "facts")
     with settings(spark, loads.SMALL):
-        write_facts(facts(spark, sf_dir), path)
+        write_facts(enrich.to_facts(enrich.enrich_by_date(clean.clean_trips(raw_trips(spark, sf_dir)))), path, laid_out=True)
     return read_partitioned(spark, path)
 
 

@@ -9,6 +9,7 @@ import pytest
 from ridelake_checks.registry import QUERIES, facts
 from ridelake_checks.trip_view import raw_trips
 from ridelake.operators import clean, enrich, filters, marts, quality, star
+from ridelake import session
 from ridelake.plans import explore
 from ridelake.session import settings, work_path
 from ridelake.sinks import warehouse
@@ -139,3 +140,19 @@ def test_large_zone_tables_are_not_broadcast(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
+def test_derived_columns_are_not_shuffled_by_date(spark):
+    """The rebalance for a write by date carries raw columns; the digest and the facts are made behind it."""
+    dated = enrich.enrich_by_date(clean.clean_trips(raw_trips(spark, SF)))
+    for rows, derived in ((star.to_fact_trips(dated, "fhvhv"), "sha2("), (enrich.to_facts(dated), "plateforme")):
+        text = plan(rows.sortWithinPartitions("PULocationID" if derived == "plateforme" else "pickup_location_id"))
+        above, below = text.split("REBALANCE_PARTITIONS_BY_COL")
+        assert derived in above and derived not in below
+
+
+def test_small_inputs_are_scanned_and_shuffled_in_small_tasks(spark):
+    mib, tib = 2**20, 2**40
+    assert [session.split_bytes(n) // mib for n in (0, 600 * mib, 2**35, tib)] == [8, 8, 16, 32]
+    with session.sized_for(spark, 800 * mib):
+        assert spark.conf.get(session.INITIAL_PARTITIONS) == "100"
