@@ -82,3 +82,20 @@ def test_settled_rounding(spark):
     got = [row.r for row in rows]
     assert got[:3] == [1.01, 2.68, -1.01] and math.isnan(got[3])
     assert got[4:] == [float("inf"), 1e30, None, 0.3]
+
+
+def test_loaded_marts_come_from_one_stored_rollup(spark, monkeypatch):
+    """The facts are rolled up once for all six marts, and no row is shuffled or sorted to write them by year."""
+    from ridelake.sinks import parquet
+    from ridelake_checks import loads
+
+    write, read = parquet.write_marts, []
+
+    def watched(tables, base):
+        read.extend(path for mart in tables.values() for path in mart.inputFiles())
+        return write(tables, base)
+
+    monkeypatch.setattr(parquet, "write_marts", watched)
+    rows = {row["table"]: row["rows"] for row in loads.loaded_tables(spark, "/root/testdata/sf0.001").collect()}
+    assert read and all("/ridelake-rollup-" in path for path in read)
+    assert len(rows) == 9 and rows["trajets_nettoyes"] == rows["fact_trips"] > 0
