@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ridelake.session import input_bytes, settings, sized_for, work_table
+from ridelake.session import OPEN_FILES, input_bytes, settings, sized_for, work_table
 from ridelake.sources.files import (
     SOURCE_FILE, common_schema, existing, file_name, list_files, literal_path, scan_files, union_tolerant,
     widen_ints, widened, with_source_file)
@@ -184,7 +184,7 @@ def _land(spark: SparkSession, lake: str, paths: list[str], todo: DataFrame, bas
     """Write the files as a new version and commit it after commit ``base`` and whatever has followed it."""
     version = f"v{uuid.uuid4().hex}"
     incoming = scan_files(spark, [literal_path(path) for path in paths], prepare=with_source_file)
-    with sized_for(spark, input_bytes(incoming)):
+    with sized_for(spark, input_bytes(incoming)), settings(spark, OPEN_FILES):
         incoming.write.partitionBy(SOURCE_FILE).parquet(f"{lake}/{VERSION}={version}")
     schema = StructType([f for f in incoming.schema.fields if f.name != SOURCE_FILE])
     counted = spark.read.schema(StructType([_PLACE[1]])).parquet(f"{lake}/{VERSION}={version}").groupBy(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -146,3 +147,18 @@ def test_all_months_of_the_trips_are_landed(spark, monkeypatch):
     expected = dict(raw_trips(spark, sf).where("pickup_datetime IS NOT NULL").groupBy(month).count().collect())
     assert len(lakes) == 3 and lakes[0] == lakes[2] == expected
     assert {at for at in expected if lakes[1][at] != expected[at]} == {"1997-06"}
+
+
+def test_only_the_changed_month_is_written_again(spark, monkeypatch):
+    """The files of other months stay as they are between the query's landings."""
+    land, seen = landing.land_raw, []
+
+    def watched(spark, source, lake):
+        seen.append({f.name: f.stat().st_ino for f in pathlib.Path(source).glob("*.parquet")})
+        return land(spark, source, lake)
+
+    monkeypatch.setattr(landing, "land_raw", watched)
+    loads.landed_rows(spark, "/root/testdata/sf0.001")
+    for before, after in zip(seen, seen[1:]):
+        assert before.keys() == after.keys()
+        assert [name for name in before if before[name] != after[name]] == ["fhvhv_tripdata_1997-06.parquet"]
